@@ -64,6 +64,10 @@ def shingles(texts: list[str], words: dict, run: int, least_words: int) -> list[
     return out
 
 
+def _short(s: np.ndarray) -> np.ndarray:
+    return (s >> np.uint64(32)).astype(np.uint32)
+
+
 def minhashes(sets: list[np.ndarray]) -> np.ndarray:
     """One row of PERMS 32-bit min-hashes per (non-empty) set."""
     out = np.empty((len(sets), PERMS), np.uint32)
@@ -95,13 +99,14 @@ def _signer(run: int, least_words: int):
                     "key": p.key.to_numpy()[keep],
                     # two independent 64-bit sums of the set: equal for equal sets
                     "fp": [xxhash.xxh3_128_digest(s.tobytes()) for s in kept],
-                    "grams": [s.tobytes() for s in kept],
+                    "grams": [np.unique(_short(s)).tobytes() for s in kept],
                 })
     return sign
 
 
 def signed(records: DataFrame, run: int, least_words: int) -> DataFrame:
-    """``source_table, key, fp, grams`` of the records with enough words; grams holds the sorted shingle hashes."""
+    """``source_table, key, fp, grams`` of the records with enough words; grams holds the sorted shingle hashes, of 32 bits
+    each: two sets of n shingles share about n*n/2**32 by chance, too few to move a similarity."""
     return records.mapInPandas(_signer(run, least_words), "source_table string, key string, fp binary, grams binary")
 
 
@@ -110,7 +115,7 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for lo in range(0, len(pdf), 4000):
             p = pdf.iloc[lo : lo + 4000]
-            m = minhashes([np.frombuffer(g, np.uint64) for g in p.grams]).astype(np.uint64)
+            m = minhashes([_mix(np.frombuffer(g, np.uint32).astype(np.uint64)) for g in p.grams]).astype(np.uint64)
             src = np.fromiter((xxhash.xxh64_intdigest(s) for s in p.source_table), np.uint64, len(p))
             bits = m[:, :SKETCH] & np.uint64(3)
             half = SKETCH // 2
@@ -201,7 +206,7 @@ def _exact(least: float):
         for p in batches:
             sim = []
             for x, y in zip(p.grams_a, p.grams_b):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
                 both_ = len(np.intersect1d(x, y, assume_unique=True))
                 sim.append(both_ / (len(x) + len(y) - both_))
             sim = np.array(sim, float)
@@ -216,17 +221,18 @@ def near_classes(records: DataFrame, run: int = 5, least: float = 0.8, least_wor
     Null, empty and short texts have no row. Repeated keys are taken as given (callers pass one row per key). Long texts
     are used whole. Equal texts never meet in the forest: their class is one row there, however many copies it has.
     """
-    s = cut(signed(records, run, least_words).withColumn("id", F.xxhash64("source_table", "fp")), "grams")
+    s = cut(signed(records, run, least_words).withColumn("id", F.xxhash64("source_table", "fp")).drop("fp"), "grams")
     member = s.select("source_table", "key", "id")
-    # copies hold the same bytes: any one row of a class will do, and partial aggregation keeps a hot class small
-    reps = s.groupBy("id").agg(F.min(F.struct("source_table", "key")).alias("k")).select("id", F.col("k.source_table"), F.col("k.key"))
-    reps = s.join(reps.withColumnRenamed("id", "rid").withColumnRenamed("source_table", "rs").withColumnRenamed("key", "rk"), (F.col("source_table") == F.col("rs")) & (F.col("key") == F.col("rk")), "left_semi")
+    # of equal sets the smallest key goes on; finding the others takes keys only, and of a hot class each is one short row
+    first = member.groupBy("id").agg(F.min("key").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    others = cut(member.join(first, "id").filter("key > first").select("source_table", "key"), "copies")
+    reps = s.join(others, ["source_table", "key"], "left_anti")
     rows = reps.select("source_table", "id", "grams").mapInPandas(_forest, "prefix long, deeper long, id long, s0 long, s1 long")
     # the order within a region only has to be one order of bit patterns, so signed comparison is as good as any
     cand = rows.repartition("prefix").sortWithinPartitions("prefix", "deeper").mapInPandas(_regions, "a long, b long").distinct()
     cand = cut(cand, "pairs")
-    g = s.select("id", "grams")
-    g = g.join(cand.select(F.col("a").alias("id")).union(cand.select("b")).distinct(), "id", "left_semi").dropDuplicates(["id"])
+    ids = cand.select(F.col("a").alias("id")).union(cand.select("b")).distinct()
+    g = reps.select("id", "grams").join(ids, "id", "left_semi")
     pairs = (
         cand.join(g.select(F.col("id").alias("a"), F.col("grams").alias("grams_a")), "a")
         .join(g.select(F.col("id").alias("b"), F.col("grams").alias("grams_b")), "b")
