@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from normspark.llm.text import WORD, body, both, visible
+from normspark.operators.references import Bloom
 from normspark.session import cut
 
 TREES, DEPTH, REGION = 24, 6, 16
@@ -232,7 +233,8 @@ def near_classes(records: DataFrame, run: int = 5, least: float = 0.8, least_wor
     cand = rows.repartition("prefix").sortWithinPartitions("prefix", "deeper").mapInPandas(_regions, "a long, b long").distinct()
     cand = cut(cand, "pairs")
     ids = cand.select(F.col("a").alias("id")).union(cand.select("b")).distinct()
-    g = reps.select("id", "grams").join(ids, "id", "left_semi")
+    # most sets are in no pair: a filter of bounded size keeps them out of the shuffle, the joins are exact
+    g = reps.select("id", "grams").filter(Bloom(ids, "id").may_hold(F.col("id")))
     pairs = (
         cand.join(g.select(F.col("id").alias("a"), F.col("grams").alias("grams_a")), "a")
         .join(g.select(F.col("id").alias("b"), F.col("grams").alias("grams_b")), "b")
