@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from normspark.llm import near_dup
+from normspark.llm import near_dup, packing, tokens, vectors
 
 QUERIES = {
     "p1_found": near_dup.found,
+    "p7_found": vectors.p7_found,
+    "p7_neighbours": vectors.p7_neighbours,
+    "p8_ids": tokens.p8_ids,
+    "p8_decoded": tokens.p8_decoded,
+    "p9_containers": packing.p9_containers,
+    "p9_unused": packing.p9_unused,
+}
+ORACLES: dict[str, str] = {
+    "p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }
-ORACLES: dict[str, str] = {}
