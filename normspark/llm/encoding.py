@@ -102,10 +102,16 @@ def _vni(word: str) -> str:
     return unicodedata.normalize("NFC", "".join(out))
 
 
+def _own(w: str) -> bool:
+    """Whether a word reads as it stands: a syllable, without capitals inside; a soft hyphen may just be one."""
+    w = w.replace("\u00ad", "")
+    return (w.islower() or w.isupper() or w[1:].islower() or len(w) == 1) and is_syllable(w)
+
+
 def _legacy(tokens: list[str], read) -> tuple[int, int]:
     n = covered = 0
     for w in tokens:
-        if len(w) < 2 or not any(c.isascii() for c in w) or is_syllable(w.replace("\u00ad", "")):  # a soft hyphen may just be one
+        if len(w) < 2 or not any(c.isascii() for c in w) or _own(w):
             continue
         got = read(w)
         if got != w and is_syllable(got):
@@ -163,12 +169,24 @@ def repair(text: str, chain: str) -> str | None:
         return text
     read = _tcvn if chain.startswith("tcvn3") else _vni
 
-    def one(m: re.Match) -> str:
-        w = m.group()
-        got = read(w)
-        return got if not is_syllable(w.replace("\u00ad", "")) and is_syllable(got) else w
-
-    return _LATIN1_TOKEN.sub(one, text)
+    # such text has no letter beyond Latin-1, so a stretch of words without any, from the first to the last word that
+    # cannot stand as it is, was garbled as a whole
+    parts = re.split(r"(\s+)", text)
+    lone = [_LATIN1_TOKEN.search(w) is not None and not _own(m := _LATIN1_TOKEN.search(w).group()) and is_syllable(read(m)) for w in parts]
+    beyond = [any(ord(c) > 0xFF for c in w) for w in parts]
+    at = 0
+    while at < len(parts):
+        if not lone[at]:
+            at += 1
+            continue
+        end, k = at, at
+        while k < len(parts) and not beyond[k]:
+            end = k if lone[k] else end
+            k += 1
+        for i in range(at, end + 1):
+            parts[i] = _LATIN1_TOKEN.sub(lambda m: g if is_syllable(g := read(m.group())) else m.group(), parts[i])
+        at = end + 1
+    return "".join(parts)
 
 
 def suspicious(c: Column) -> Column:
