@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from normspark.llm.text import both, text_units
+from normspark.llm.text import both
 from normspark.llm.vietnamese import LETTERS, is_syllable
 from normspark.session import cut
 
@@ -289,7 +289,6 @@ def p3_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return restored(cut(both(spark, sf_dir).filter(suspicious(F.col("text"))), "suspicious")).withColumnRenamed("key", "record_key")
 
 
-def garbled_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys of the garbled units alone."""
-    t = text_units(spark, sf_dir).select(F.lit("text_unit").alias("source_table"), "key", "text")
-    return garbled(t).select("key")
+def garbled_units(units: DataFrame) -> DataFrame:
+    """Keys of the garbled ones among ``key, text`` of text units."""
+    return garbled(units.select(F.lit("text_unit").alias("source_table"), "key", "text")).select("key")

@@ -18,7 +18,7 @@ from normspark.session import cut, table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # The code points of white space in Unicode, and the splitting pattern that belongs to the vocabulary.
-SPACE = r"\t-\r \x85\xa0  -     　"
+SPACE = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
