@@ -23,7 +23,7 @@ def spelled_integer(c: Column) -> Column:
 
     Spaces around, a sign, leading zeros and a trailing ``.0`` are ways to write it.
     """
-    t = F.regexp_extract(c, r"^[\s ]*([+-]?\d+)(?:\.0*)?[\s ]*$", 1)
+    t = F.regexp_extract(c, r"^[\s\x{a0}]*([+-]?\d+)(?:\.0*)?[\s\x{a0}]*$", 1)
     sign = F.when(t.startswith("-"), F.lit("-")).otherwise(F.lit(""))
     digits = F.regexp_replace(F.regexp_replace(t, r"^[+-]", ""), r"^0+(?=\d)", "")
     return F.when(F.coalesce(t, F.lit("")) == "", None).otherwise(F.when(digits == "0", digits).otherwise(F.concat(sign, digits)))
