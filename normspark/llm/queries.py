@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from normspark.llm import near_dup, packing, tokens, vectors
+from normspark.llm import encoding, lookalikes, near_dup, packing, tokens, vectors
 
 QUERIES = {
     "p1_found": near_dup.found,
+    "p3_found": encoding.p3_found,
+    "p3_restored": encoding.p3_restored,
+    "p6_found": lookalikes.p6_found,
+    "p6_forms": lookalikes.p6_forms,
     "p7_found": vectors.p7_found,
     "p7_neighbours": vectors.p7_neighbours,
     "p8_ids": tokens.p8_ids,
