@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from normspark.llm import encoding, lookalikes, near_dup, packing, tokens, vectors
+from normspark.llm import encoding, lookalikes, markup, near_dup, packing, tokens, vectors
 
 QUERIES = {
     "p1_found": near_dup.found,
+    "p2_found": markup.residue,
+    "p2_clean": markup.cleaned,
     "p3_found": encoding.p3_found,
     "p3_restored": encoding.p3_restored,
     "p6_found": lookalikes.p6_found,
