@@ -74,3 +74,12 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     _made.append((spark, path))
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out evenly where the input has fewer parts than the session has cores; large inputs stay as they are.
+
+    For kernels whose work is out of proportion to the bytes they read, so that a small file does not sit in one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(2 * cores)
