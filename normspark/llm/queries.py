@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from normspark.llm import encoding, lookalikes, markup, near_dup, packing, tokens, vectors
+from normspark.llm import encoding, language, lookalikes, markup, near_dup, packing, tokens, vectors
 
 QUERIES = {
     "p1_found": near_dup.found,
@@ -18,6 +18,9 @@ QUERIES = {
     "p8_decoded": tokens.p8_decoded,
     "p9_containers": packing.p9_containers,
     "p9_unused": packing.p9_unused,
+    "p10_found": language.p10_found,
+    "p10_documents": language.p10_documents,
+    "p10_passages": language.p10_passages,
 }
 ORACLES: dict[str, str] = {
     "p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
