@@ -1,21 +1,19 @@
 """References to records that do not exist: a Bloom filter proves most orphans, an exact join settles the rest.
 
-A filter over all keys that ever arrived is built in Spark (bit positions by hash, words by ``bit_or``) and goes to every
-task as a constant of at most ``MAX_BITS`` bits, whatever the number of keys. A reference it rejects is an orphan for
+A filter over all keys that ever arrived is built in Spark and goes to every task as a table of at most ``MAX_BITS`` bits,
+whatever the number of keys. A reference it rejects is an orphan for
 certain and needs no join. The others are joined with the live intervals of their key and kept where none holds the time
 of the reference. A filter that is full lets more references through to the join, and changes no result.
 """
 
 from __future__ import annotations
 
-import struct
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from normspark.session import cut, table
 
-HASHES, BITS_PER_KEY, MAX_BITS = 4, 12, 1 << 26
+HASHES, BITS_PER_KEY, MAX_BITS = 4, 16, 1 << 25
 
 
 def spelled_integer(c: Column) -> Column:
@@ -36,29 +34,36 @@ def trimmed(c: Column) -> Column:
 
 
 class Bloom:
-    """Membership with false positives only."""
+    """Membership with false positives only: a table of 64-bit words, one of them for each key, ``HASHES`` bits in it.
+
+    The words are made and merged in Spark (``bit_or``) and go to the tasks as a broadcast table of at most
+    ``MAX_BITS / 64`` rows; they never pass through the driver's own memory or the plan.
+    """
 
     def __init__(self, keys: DataFrame, key: str = "key", max_bits: int = MAX_BITS) -> None:
-        h = keys.select(key).distinct()
-        n = h.count()
-        self.bits = min(max_bits, 1 << max(10, (n * BITS_PER_KEY - 1).bit_length()))
-        at = h.select(F.explode(F.array(*self._at(F.col(key)))).alias("at"))
-        words = at.groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("w"))
-        raw = bytearray(self.bits // 8)
-        for r in words.toLocalIterator():  # bits / 64 rows at most
-            struct.pack_into("<q", raw, r["word"] * 8, r["w"])
-        self.raw = bytes(raw)
-
-    def _at(self, key: Column) -> list[Column]:
-        return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(self.bits).cast("long")) for i in range(HASHES)]
-
-    def may_hold(self, key: Column) -> Column:
-        out = F.lit(True)
-        for at in self._at(key):
-            byte = F.conv(F.hex(F.substring(F.lit(self.raw), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-            out = out & (F.pmod(F.floor(byte / F.pow(F.lit(2.0), F.pmod(at, F.lit(8)))), F.lit(2)) == 1)
+        h = keys.select(F.col(key).alias("k")).filter("k is not null").distinct()
+        self.words = min(max_bits, 1 << max(12, (h.count() * BITS_PER_KEY - 1).bit_length())) // 64
+        self.table = h.select(self._word(F.col("k")).alias("_word"), self._mask(F.col("k")).alias("m")).groupBy("_word").agg(F.bit_or("m").alias("_bits"))
+
+    def _word(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.words).cast("long"))
+
+    def _mask(self, key: Column) -> Column:
+        # six bits of a second hash for each position
+        h = F.xxhash64(key, F.lit(1))
+        one, at = F.lit(1).cast("long"), lambda i: F.call_function("shiftrightunsigned", h, F.lit(6 * i)).bitwiseAND(F.lit(63).cast("long"))
+        bits = [F.call_function("shiftleft", one, at(i).cast("int")) for i in range(HASHES)]
+        out = bits[0]
+        for x in bits[1:]:
+            out = out.bitwiseOR(x)
         return out
 
+    def tested(self, df: DataFrame, key: str) -> DataFrame:
+        """``df`` with ``_may``: false where ``key`` is certainly not among the keys."""
+        d = df.withColumn("_word", self._word(F.col(key))).withColumn("_mask", self._mask(F.col(key)))
+        d = d.join(F.broadcast(self.table), "_word", "left")
+        return d.withColumn("_may", F.coalesce(F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False))).drop("_word", "_mask", "_bits")
+
 
 def live_intervals(events: DataFrame) -> DataFrame:
     """``key, since, until``: when each key is live, from ``key, at, arrived``; until is null while it stays so.
@@ -81,11 +86,10 @@ def orphans(refs: DataFrame, events: DataFrame, max_bits: int = MAX_BITS) -> Dat
     interval side, so the join can be split on the side of the references.
     """
     refs = refs.filter("key is not null")
-    bloom = Bloom(events.filter("arrived and key is not null"), max_bits=max_bits)
-    may = bloom.may_hold(F.col("key"))
-    i = live_intervals(events).withColumnRenamed("key", "ikey")
-    live = (F.col("key") == F.col("ikey")) & (F.col("at") >= F.col("since")) & (F.col("until").isNull() | (F.col("at") < F.col("until")))
-    return refs.filter(~may).unionByName(refs.filter(may).join(i, live, "left_anti"))
+    t = Bloom(events.filter("arrived"), max_bits=max_bits).tested(refs, "key")
+    i = live_intervals(events).withColumnRenamed("key", "_key")
+    live = (F.col("key") == F.col("_key")) & (F.col("at") >= F.col("since")) & (F.col("until").isNull() | (F.col("at") < F.col("until")))
+    return t.filter("not _may").unionByName(t.filter("_may").join(i, live, "left_anti")).drop("_may")
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:

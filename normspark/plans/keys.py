@@ -32,20 +32,20 @@ r AS (
 
 _ORPHANS = r"""
 WITH e AS (
-  SELECT 'm:' || CAST(id AS VARCHAR) AS key, loaded_at AS at, 1 AS arrived FROM metadata WHERE id IS NOT NULL
+  SELECT 'm:' || CAST(id AS VARCHAR) AS key, loaded_at AS ts, 1 AS arrived FROM metadata WHERE id IS NOT NULL
   UNION ALL SELECT 'c:' || trim(comp_id), updated_at, 1 FROM component WHERE trim(comp_id) <> ''
   UNION ALL SELECT CASE table_name WHEN 'metadata' THEN 'm:' || CAST(CAST(trim(record_key) AS BIGINT) AS VARCHAR) ELSE 'c:' || trim(record_key) END, deleted_at, 0
     FROM deleted_records),
 r AS (
-  SELECT 'relationships' AS ref_table, 'doc_id' AS ref_field, row_id, loaded_at AS at, regexp_extract(doc_id, '^\s*([+-]?\d+)(\.0*)?\s*$', 1) AS v FROM relationships
+  SELECT 'relationships' AS ref_table, 'doc_id' AS ref_field, row_id, loaded_at AS ts, regexp_extract(doc_id, '^\s*([+-]?\d+)(\.0*)?\s*$', 1) AS v FROM relationships
   UNION ALL SELECT 'relationships', 'other_doc_id', row_id, loaded_at, regexp_extract(other_doc_id, '^\s*([+-]?\d+)(\.0*)?\s*$', 1) FROM relationships),
 k AS (
-  SELECT ref_table, ref_field, row_id, at, 'm:' || CAST(CAST(v AS BIGINT) AS VARCHAR) AS key FROM r WHERE v <> ''
+  SELECT ref_table, ref_field, row_id, ts, 'm:' || CAST(CAST(v AS BIGINT) AS VARCHAR) AS key FROM r WHERE v <> ''
   UNION ALL SELECT 'apply_to', 'comp_id', row_id, loaded_at, 'c:' || trim(comp_id) FROM apply_to WHERE trim(comp_id) <> ''),
 s AS (
-  SELECT k.ref_table, k.ref_field, k.row_id, k.at, arg_max(e.arrived, {'at': e.at, 'gone': 1 - e.arrived}) AS live
-  FROM k LEFT JOIN e ON e.key = k.key AND e.at <= k.at GROUP BY ALL),
-o AS (SELECT ref_table, ref_field, row_id, strftime(at, '%Y-%m') AS period FROM s WHERE coalesce(live, 0) = 0)
+  SELECT k.ref_table, k.ref_field, k.row_id, k.ts, arg_max(e.arrived, {'moment': e.ts, 'gone': 1 - e.arrived}) AS live
+  FROM k LEFT JOIN e ON e.key = k.key AND e.ts <= k.ts GROUP BY ALL),
+o AS (SELECT ref_table, ref_field, row_id, strftime(ts, '%Y-%m') AS period FROM s WHERE coalesce(live, 0) = 0)
 """
 
 ORACLES = {
