@@ -234,7 +234,7 @@ def near_classes(records: DataFrame, run: int = 5, least: float = 0.8, least_wor
     cand = cut(cand, "pairs")
     ids = cand.select(F.col("a").alias("id")).union(cand.select("b")).distinct()
     # most sets are in no pair: a filter of bounded size keeps them out of the shuffle, the joins are exact
-    g = reps.select("id", "grams").filter(Bloom(ids, "id").may_hold(F.col("id")))
+    g = Bloom(ids, "id").tested(reps.select("id", "grams"), "id").filter("_may").drop("_may")
     pairs = (
         cand.join(g.select(F.col("id").alias("a"), F.col("grams").alias("grams_a")), "a")
         .join(g.select(F.col("id").alias("b"), F.col("grams").alias("grams_b")), "b")
