@@ -98,7 +98,8 @@ def title(line: Column, lv: Column) -> Column:
 
 def article_number(c: Column) -> Column:
     """The number in an article's citation or line, null without one."""
-    return F.nullif(F.regexp_extract(c, r"(?iU)Điều\s+(\d+)", 1), F.lit("")).try_cast("int")
+    n = F.translate(F.regexp_extract(c, r"(?iU)Điều\s+(\d+)", 1), "０１２３４５６７８９", "0123456789")
+    return F.nullif(n, F.lit("")).try_cast("int")
 
 
 def letter_position(c: Column) -> Column:

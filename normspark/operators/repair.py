@@ -130,10 +130,29 @@ def _taken(c: DataFrame, hit: DataFrame, level: str, word: str, tag: str, rule:
     return _added(d, _recovered(some, level, word, tag, F.col("parent_comp_id"), F.col("ancestors"))), said
 
 
+def sole_clauses(c: DataFrame) -> DataFrame:
+    """Clauses that are the only one of their article."""
+    w = Window.partitionBy("norm_id", "parent_comp_id")
+    return c.filter("level = 'Khoan'").withColumn("_n", F.count("*").over(w)).filter("_n = 1 and size(ancestors) > 0 and element_at(ancestors, -1).level = 'Dieu'").drop("_n")
+
+
+def article_gaps(c: DataFrame) -> DataFrame:
+    """Articles (number ``n``) after which numbers of the document's articles are missing, up to ``nxt``; by number, not place."""
+    a = c.filter("level = 'Dieu'").withColumn("n", X.article_number(F.col("citation"))).filter("n is not null")
+    return a.withColumn("nxt", F.lead("n").over(Window.partitionBy("norm_id").orderBy("n", "pos"))).filter("nxt - n > 1")
+
+
+def letter_gaps(c: DataFrame) -> DataFrame:
+    """The first point of each clause (place ``at`` in the alphabet) after which letters are missing, up to ``nxt``."""
+    w = Window.partitionBy("norm_id", "parent_comp_id").orderBy("order_index", "comp_id")
+    p = c.filter("level = 'Diem' and size(ancestors) > 0 and element_at(ancestors, -1).level = 'Khoan'").withColumn("at", X.letter_position(F.col("citation"))).filter("at is not null")
+    p = p.withColumn("nxt", F.lead("at").over(w)).filter("nxt - at > 1")
+    return p.withColumn("_k", F.row_number().over(w)).filter("_k = 1").drop("_k")
+
+
 def clauses_recovered(c: DataFrame, original: DataFrame) -> tuple[DataFrame, DataFrame]:
     """C2: where an article has one clause only, clauses 2 and up that its text swallowed become components."""
-    w = Window.partitionBy("norm_id", "parent_comp_id")
-    kin = original.filter("level = 'Khoan'").withColumn("_n", F.count("*").over(w)).filter("_n = 1 and element_at(ancestors, -1).level = 'Dieu'").select("norm_id", "comp_id")
+    kin = sole_clauses(original).select("norm_id", "comp_id")
     sole = c.join(kin, ["norm_id", "comp_id"], "left_semi")
     pattern = r"(?m)^(\d+)\.\s"
     s = sole.withColumn("segs", F.when(F.coalesce("raw_text", F.lit("")) != "", _segments(F.col("raw_text"), pattern)).otherwise(F.array().cast("array<struct<text:string,no:string>>")))
@@ -147,8 +166,7 @@ def clauses_recovered(c: DataFrame, original: DataFrame) -> tuple[DataFrame, Dat
 
 def articles_recovered(c: DataFrame) -> tuple[DataFrame, DataFrame]:
     """B1: where the numbers of a document's articles leave a gap, articles of the gap in the text before it become components."""
-    a = c.filter("level = 'Dieu'").withColumn("n", X.article_number(F.col("citation"))).filter("n is not null")
-    a = a.withColumn("nxt", F.lead("n").over(Window.partitionBy("norm_id").orderBy("n", "pos"))).filter("nxt - n > 1")
+    a = article_gaps(c)
     pattern = r"(?m)^(?iu:Điều)\s+(\d+)\s*[.:]"
     s = a.withColumn("segs", F.when(F.coalesce("raw_text", F.lit("")) != "", _segments(F.col("raw_text"), pattern)).otherwise(F.array().cast("array<struct<text:string,no:string>>")))
     inside = lambda x: F.coalesce((x["no"].try_cast("bigint") > F.col("n")) & (x["no"].try_cast("bigint") < F.col("nxt")), F.lit(False))
@@ -160,10 +178,7 @@ def articles_recovered(c: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def points_recovered(c: DataFrame, original: DataFrame) -> tuple[DataFrame, DataFrame]:
     """B4: the first gap in the letters of a clause's points, filled from the text before it."""
-    w = Window.partitionBy("norm_id", "parent_comp_id").orderBy("order_index")
-    p = original.filter("level = 'Diem' and element_at(ancestors, -1).level = 'Khoan'").withColumn("at", X.letter_position(F.col("citation"))).filter("at is not null")
-    p = p.withColumn("nxt", F.lead("at").over(w)).filter("nxt - at > 1")
-    p = p.withColumn("_k", F.row_number().over(w)).filter("_k = 1").select("norm_id", "comp_id", "at", "nxt")
+    p = letter_gaps(original).select("norm_id", "comp_id", "at", "nxt")
     s = c.join(p, ["norm_id", "comp_id"])
     pattern = r"(?m)^((?iu:[a-zđ]))\.\s"
     s = s.withColumn("segs", F.when(F.coalesce("raw_text", F.lit("")) != "", _segments(F.col("raw_text"), pattern)).otherwise(F.array().cast("array<struct<text:string,no:string>>")))

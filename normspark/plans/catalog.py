@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("keys",)
+MODULES = ("keys", "documents", "trees", "graphs")
 
 
 def _gather(name: str) -> dict:
