@@ -47,13 +47,23 @@ def _finish(paths: bool):
                 else:
                     d, root, path = done[up]
                     done[x] = (d + 1 if d >= 0 else -1, root, SEP.join(t for t in (path, label[x]) if t is not None) if paths else None)
-        for x in sorted((x for x in parent if done[x][0] > 0), key=lambda x: -done[x][0]):
-            size[parent[x]] += size[x]
-        below: dict[str, int] = {}  # in a loop every member has every other below it, with all that hangs on the loop
-        for x in parent:
-            if done[x][0] < 0:
-                below[done[x][1]] = below.get(done[x][1], 0) + size[x]
-        n = [size[x] if done[x][0] >= 0 else below[done[x][1]] for x in p.comp_id]
+        kids = dict.fromkeys(parent, 0)
+        for up in parent.values():
+            if up is not None:
+                kids[up] += 1
+        leaves = [x for x, k in kids.items() if not k]
+        while leaves:  # the same peeling, within the task
+            x = leaves.pop()
+            if (up := parent[x]) is not None:
+                size[up] += size[x]
+                kids[up] -= 1
+                if not kids[up]:
+                    leaves.append(up)
+        whole: dict[str, int] = {}  # what can't be peeled is in a loop, where every member has all of it below
+        for x, k in kids.items():
+            if k:
+                whole[done[x][1]] = whole.get(done[x][1], 0) + size[x]
+        n = [whole[done[x][1]] if kids[x] else size[x] for x in p.comp_id]
         d = [done[x] for x in p.comp_id]
         return pd.DataFrame({"comp_id": p.comp_id, "depth": [x[0] for x in d], "root": [x[1] for x in d], "path": [x[2] if paths else None for x in d], "size": n})
 

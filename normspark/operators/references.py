@@ -60,9 +60,9 @@ class Bloom:
 
     def tested(self, df: DataFrame, key: str) -> DataFrame:
         """``df`` with ``_may``: false where ``key`` is certainly not among the keys."""
-        d = df.withColumn("_word", self._word(F.col(key))).withColumn("_mask", self._mask(F.col(key)))
+        d = df.select(F.struct("*").alias("row"), self._word(F.col(key)).alias("_word"), self._mask(F.col(key)).alias("_mask"))
         d = d.join(F.broadcast(self.table), "_word", "left")
-        return d.withColumn("_may", F.coalesce(F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False))).drop("_word", "_mask", "_bits")
+        return d.select("row.*", F.coalesce(F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False)).alias("_may"))
 
 
 def live_intervals(events: DataFrame) -> DataFrame:
@@ -85,11 +85,10 @@ def orphans(refs: DataFrame, events: DataFrame, max_bits: int = MAX_BITS) -> Dat
     Repeated references come out as often as they go in; other columns pass through. A hot key is one row (or few) on the
     interval side, so the join can be split on the side of the references.
     """
-    refs = refs.filter("key is not null")
-    t = Bloom(events.filter("arrived"), max_bits=max_bits).tested(refs, "key")
-    i = live_intervals(events).withColumnRenamed("key", "_key")
-    live = (F.col("key") == F.col("_key")) & (F.col("at") >= F.col("since")) & (F.col("until").isNull() | (F.col("at") < F.col("until")))
-    return t.filter("not _may").unionByName(t.filter("_may").join(i, live, "left_anti")).drop("_may")
+    r = refs.filter("key is not null").select(F.struct("*").alias("all"), F.col("key").alias("k"), F.col("at").alias("t"))
+    t = Bloom(events.filter("arrived"), max_bits=max_bits).tested(r, "k")
+    live = (F.col("k") == F.col("key")) & (F.col("t") >= F.col("since")) & (F.col("until").isNull() | (F.col("t") < F.col("until")))
+    return t.filter("not _may").unionByName(t.filter("_may").join(live_intervals(events), live, "left_anti")).select("all.*")
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:

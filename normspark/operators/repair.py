@@ -13,13 +13,14 @@ from normspark import schemas as S
 from normspark.functions import text as X
 from normspark.session import cut
 
-_doc = Window.partitionBy("norm_id")
+def _doc():
+    return Window.partitionBy("norm_id")
 
 
 def _without(c: DataFrame, bad: Column) -> DataFrame:
     """Components left when those marked ``bad`` go, with everything below them."""
     c = c.withColumn("_bad", F.coalesce(bad, F.lit(False)))
-    c = c.withColumn("_gone", F.collect_set(F.when(F.col("_bad"), F.col("comp_id"))).over(_doc))
+    c = c.withColumn("_gone", F.collect_set(F.when(F.col("_bad"), F.col("comp_id"))).over(_doc()))
     above = F.transform("ancestors", lambda x: x["comp_id"])
     return c.filter(~F.col("_bad") & ~F.arrays_overlap(above, F.col("_gone"))).drop("_bad", "_gone")
 
@@ -86,7 +87,7 @@ def _rule(d: DataFrame, rule: str, severity: Column | str, comp: Column, **detai
 
 def small_leaves_merged(c: DataFrame) -> tuple[DataFrame, DataFrame]:
     """D2: a leaf of fewer than 10 characters gives its text to its parent; the component stays. Components and rows of the fix."""
-    parents = F.collect_set("parent_comp_id").over(_doc)
+    parents = F.collect_set("parent_comp_id").over(_doc())
     c = c.withColumn("_small", F.coalesce(~F.array_contains(parents, F.col("comp_id")) & (F.length("raw_text") < S.SMALL_LEAF) & F.col("parent_comp_id").isNotNull(), F.lit(False)))
     small = c.filter("_small")
     given = small.groupBy(F.col("norm_id").alias("_n"), F.col("parent_comp_id").alias("_p")).agg(F.array_sort(F.collect_list(F.struct("pos", "raw_text"))).alias("_t"))

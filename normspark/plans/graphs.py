@@ -10,11 +10,10 @@ from normspark.operators import graph, hierarchy, quality, relations, vector
 from normspark.operators.records import latest
 from normspark.session import cut, table
 
-TITLE = F.coalesce("title", F.lit(""))
 
 
 def _norms(s, d):
-    return latest(table(s, d, "metadata").select("id", "title", "so_ky_hieu", "loaded_at"), "id", "loaded_at", TITLE).select(F.col("id").cast("string").alias("norm_id"), "title", F.col("so_ky_hieu").alias("norm_number"))
+    return latest(table(s, d, "metadata").select("id", "title", "so_ky_hieu", "loaded_at"), "id", "loaded_at", F.coalesce("title", F.lit(""))).select(F.col("id").cast("string").alias("norm_id"), "title", F.col("so_ky_hieu").alias("norm_number"))
 
 
 def _components(s, d):
