@@ -108,7 +108,7 @@ def _signer(run: int, least_words: int):
 def signed(records: DataFrame, run: int, least_words: int) -> DataFrame:
     """``source_table, key, fp, grams`` of the records with enough words; grams holds the sorted shingle hashes, of 32 bits
     each: two sets of n shingles share about n*n/2**32 by chance, too few to move a similarity."""
-    return records.mapInPandas(_signer(run, least_words), "source_table string, key string, fp binary, grams binary")
+    return records.select("source_table", "key", "text").mapInPandas(_signer(run, least_words), "source_table string, key string, fp binary, grams binary")
 
 
 def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -170,7 +170,7 @@ def nearest(units: DataFrame, k: int = K, stripe: int = STRIPE) -> DataFrame:
         for p in batches:
             yield pd.DataFrame({"unit_id": p.unit_id, "vec": [np.asarray(e, np.float32).tobytes() for e in p.embedding]})
 
-    u = units.mapInPandas(as_bytes, "unit_id string, vec binary").withColumn("vkey", F.xxhash64("vec"))
+    u = units.select("unit_id", "embedding").mapInPandas(as_bytes, "unit_id string, vec binary").withColumn("vkey", F.xxhash64("vec"))
     u = cut(u, "vectors")
     d = cut(distinct_vectors(u, k), "distinct")
     n = d.count()
