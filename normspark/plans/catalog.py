@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("keys", "documents", "trees", "graphs")
+MODULES = ("keys", "documents", "trees", "graphs", "streams")
 
 
 def _gather(name: str) -> dict:
