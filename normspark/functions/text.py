@@ -54,11 +54,14 @@ def split_at_headers(line: Column) -> Column:
     """The lines that one line is: broken before every marker within it, unless a citation leads up to the marker.
 
     A line that holds no such marker but begins with one is broken after it where a clause or a point follows. Blank
-    pieces fall away.
+    pieces fall away. Lines without any of the markers' words are left alone; the look ahead comes first in the pattern, as
+    it fails at once nearly everywhere.
     """
-    within = F.regexp_replace(line, rf"(?iU)(?<=.)(?<!{_LEADER})(?={_BREAK})", "\n")
-    after = F.regexp_replace(line, rf"(?iU)^({_BREAK})(?=\s*\d{{1,2}}\.\s+|(?-i:\s*[a-zđ]\)\s+))", "$1\n")
-    return F.filter(F.split(F.when(within != line, within).otherwise(after), "\n"), lambda x: strip(x) != "")
+    within = F.regexp_replace(line, rf"(?iU)(?={_BREAK})(?<=.)(?<!{_LEADER})", "\n")
+    # a lambda's variable stands for the first result, which would be worked out again at each use
+    pieces = F.element_at(F.transform(F.array(within), lambda w: F.when(w != line, w).otherwise(F.regexp_replace(line, rf"(?iU)^({_BREAK})(?=\s*\d{{1,2}}\.\s+|(?-i:\s*[a-zđ]\)\s+))", "$1\n"))), 1)
+    cut = F.filter(F.split(pieces, "\n"), lambda x: strip(x) != "")
+    return F.when(line.rlike(r"(?iU)(?:Phụ\s+lục|Phần\s|Chương\s|Mục\s|Điều\s)"), cut).otherwise(F.filter(F.array(line), lambda x: strip(x) != ""))
 
 
 def lines(md: Column) -> Column:

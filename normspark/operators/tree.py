@@ -25,7 +25,9 @@ def marked(docs: DataFrame) -> DataFrame:
     Article markers whose number jumps away and comes back are citations that a line break made look like markers; they
     count as body text. Null and empty documents have no lines.
     """
-    d = docs.repartition("norm_id").select("norm_id", F.posexplode(X.lines(F.col("markdown"))).alias("i", "line"))
+    # a given number of parts: the work is in the patterns, so parts must not be merged for being few bytes
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = docs.repartition(parts, "norm_id").select("norm_id", F.posexplode(X.lines(F.col("markdown"))).alias("i", "line"))
     d = d.withColumn("n", F.nullif(F.regexp_extract("line", r"(?U)^\s*[Đđ]iều\s+(\d+)", 1), F.lit("")).try_cast("int"))
     w = Window.partitionBy("norm_id").orderBy("i")
     last = F.last("n", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
@@ -69,7 +71,8 @@ def components(docs: DataFrame) -> DataFrame:
     # open: of a smaller rank than the node, and later than every marker of a rank smaller still
     at = lambda k: F.coalesce(F.col("lasts")[k]["ord"], F.lit(0))
     open_ = [F.when((F.lit(k) < F.col("rank")) & (at(k) > (reduce(F.greatest, [at(j) for j in range(k)], F.lit(0)) if k else F.lit(0))), F.col("lasts")[k]) for k in RANKS]
-    n = n.filter("ord > 0").withColumn("chain", F.filter(F.array(*open_), lambda x: x.isNotNull())).drop("lasts", "parts")
+    alone = F.coalesce(F.max("ord").over(Window.partitionBy("norm_id")), F.lit(0)) == 0  # a document without markers
+    n = n.withColumn("alone", alone).filter("ord > 0 or alone").withColumn("chain", F.filter(F.array(*open_), lambda x: x.isNotNull())).drop("lasts", "parts")
     # text of long parents flows to first children: a first child directly follows its parent
     empty = F.struct(F.lit(0).cast("long").alias("ord"), F.lit("").alias("text"))
 
@@ -82,22 +85,11 @@ def components(docs: DataFrame) -> DataFrame:
     passed = F.when((F.col("ord") == F.col("above.ord") + 1) & (F.length(X.strip(F.col("above.text"))) > S.PARENT_TEXT), F.col("above.text")).otherwise("")
     n = n.withColumn("raw_text", F.when(leaf & F.col("raw").isNotNull(), F.concat(passed, "raw")))
     first = F.min(F.when(F.col("raw_text").isNotNull(), F.col("ord"))).over(Window.partitionBy("norm_id"))
-    n = n.withColumn("raw_text", F.when((F.col("ord") == first) & F.col("preamble").isNotNull(), F.concat("preamble", "raw_text")).otherwise(F.col("raw_text")))
+    n = n.withColumn("raw_text", F.when((F.col("ord") == first) & F.col("preamble").isNotNull() & ~F.col("alone"), F.concat("preamble", "raw_text")).otherwise(F.col("raw_text")))
     short = F.transform("chain", lambda x: F.struct(x["comp_id"].alias("comp_id"), x["citation"].alias("citation"), x["title_text"].alias("title_text"), x["level"].alias("level"), x["rank"].alias("rank")))
-    parsed = n.select(
-        "norm_id", F.concat("norm_id", F.lit("__c"), F.col("ord").cast("string")).alias("comp_id"), "level", "rank", "citation", F.col("ord").cast("int").alias("order_index"),
-        F.when(F.size("chain") > 0, F.element_at("chain", -1)["comp_id"]).alias("parent_comp_id"),
+    k = F.when(F.col("alone"), 1).otherwise(F.col("ord"))
+    return n.select(
+        "norm_id", F.concat("norm_id", F.lit("__c"), k.cast("string")).alias("comp_id"), F.when(F.col("alone"), "Dieu").otherwise(F.col("level")).alias("level"), F.when(F.col("alone"), 4).otherwise(F.col("rank")).alias("rank"),
+        F.when(F.col("alone"), "Điều 1").otherwise(F.col("citation")).alias("citation"), k.cast("int").alias("order_index"), F.when(F.size("chain") > 0, F.element_at("chain", -1)["comp_id"]).alias("parent_comp_id"),
         "title_text", short.alias("ancestors"), "raw_text",
     )
-    return parsed.unionByName(_whole(m, parsed))
-
-
-def _whole(m: DataFrame, parsed: DataFrame) -> DataFrame:
-    """One article for each document that has lines but no marker."""
-    d = m.groupBy("norm_id").agg(F.max("owner").alias("markers"), F.array_sort(F.collect_list(F.struct("i", "own"))).alias("parts")).filter("markers = 0")
-    text = F.concat(F.array_join(F.transform("parts", lambda x: x["own"]), "\n"), F.lit("\n"))
-    none = F.lit(None).cast("string")
-    return d.select(
-        "norm_id", F.concat("norm_id", F.lit("__c1")).alias("comp_id"), F.lit("Dieu").alias("level"), F.lit(4).alias("rank"), F.lit("Điều 1").alias("citation"), F.lit(1).alias("order_index"),
-        none.alias("parent_comp_id"), none.alias("title_text"), F.array().cast(parsed.schema["ancestors"].dataType).alias("ancestors"), text.alias("raw_text"),
-    )
