@@ -30,7 +30,7 @@ TCVN3 = dict(zip(
     "ĂÂÊÔƠƯĐăâêôơưđàảãáạằẳẵắặầẩẫấậèẻẽéẹềểễếệìỉĩíịòỏõóọồổỗốộờởỡớợùủũúụừửữứựỳỷỹýỵ",
 ))
 # VNI writes a mark as a character of its own after the letter.
-VNI_MARKS = {"ø": "̀", "ù": "́", "û": "̉", "õ": "̃", "ï": "̣", "â": "̂", "ê": "̆", "á": "̂́", "à": "̂̀", "å": "̂̉", "ã": "̂̃", "ä": "̣̂", "é": "̆́", "è": "̆̀", "ú": "̆̉", "ü": "̆̃", "ë": "̣̆"}
+VNI_MARKS = {"ø": "\u0300", "ù": "\u0301", "û": "\u0309", "õ": "\u0303", "ï": "\u0323", "â": "\u0302", "ê": "\u0306", "á": "\u0302\u0301", "à": "\u0302\u0300", "å": "\u0302\u0309", "ã": "\u0302\u0303", "ä": "\u0323\u0302", "é": "\u0306\u0301", "è": "\u0306\u0300", "ú": "\u0306\u0309", "ü": "\u0306\u0303", "ë": "\u0323\u0306"}
 VNI_LETTERS = {"ñ": "đ", "ö": "ư", "ô": "ơ", "ò": "ị", "æ": "ỉ", "ó": "ĩ", "í": "í", "ì": "ì", "î": "ỵ"}
 
 #: Codes that UTF-8 bytes are read by.

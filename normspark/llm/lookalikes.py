@@ -31,19 +31,19 @@ ALIKE |= dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳοϲνρι", "ABEZHIKMNOPTYXC
 ALIKE |= dict(zip("ÐƉðɖıɡɑᴏᴠ", "ĐĐđđigaov"))
 #: Followed in the trie only: alike in some fonts, so a known word has to vouch for them.
 NEARLY = dict(zip("кмтвнгпαγκτυχω", "kmtbhrnaykvxxw")) | {"υ": "u", "τ": "t", "к": "k"}
-IGNORED = "­͏؜ᅟᅠ឴឵᠋-᠎​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f"
-SPACES = "\t   -   　"
-HYPHENS = "‐‑﹣－"
+IGNORED = "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180e\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f"
+SPACES = "\t\u00a0\u1680\u2000-\u200a\u202f\u205f\u3000"
+HYPHENS = "\u2010\u2011\ufe63\uff0d"
 
 _IGNORED = re.compile(f"[{IGNORED}]")
 _SPACE = re.compile(f"[{SPACES}]")
 _HYPHEN = re.compile(f"[{HYPHENS}]")
 # letters and digits of unusual width or kind: full width, Roman numerals as one sign, ligatures, mathematical alphabets
 _KIND = re.compile("[０-９Ａ-Ｚａ-ｚⅠ-ↈﬀ-ﬆ\U0001d400-\U0001d7ff]")
-_MARKED = re.compile("[^̀-ͯ][̀-ͯ]+")
+_MARKED = re.compile("[^\u0300-\u036f][\u0300-\u036f]+")
 _FOREIGN = re.compile("[" + "".join(ALIKE) + "".join(NEARLY) + "]")
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ʯḀ-ỿ]")
-_TOKEN = re.compile(f"[\\ẁ-ͯ{IGNORED}]+")
+_TOKEN = re.compile(f"[\\w\u0300-\u036f{IGNORED}]+")
 _ODD = re.compile(rf"[^\x20-\x7e\n\r{LETTERS}]")
 _PLAIN_WORD = rf"[a-zA-Z{LETTERS}]+"
 

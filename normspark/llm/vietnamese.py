@@ -7,7 +7,7 @@ import unicodedata
 from functools import lru_cache
 
 #: All lower-case letters with marks, from the base letters and the five tone marks.
-TONES = "̣̀́̃̉"
+TONES = "\u0300\u0301\u0303\u0309\u0323"
 BASES = "aăâeêioôơuưy"
 LOWER = "".join(unicodedata.normalize("NFC", b + t) for b in BASES for t in ("", *TONES))
 MARKED = "".join(c for c in LOWER if not c.isascii()) + "đ"
