@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +47,29 @@ def citations(units: DataFrame) -> DataFrame:
     return t.filter("citation_path is not null").select("norm_id", "comp_id", "unit_id", "accumulated_text", "citation_path")
 
 
-def actions(rel: DataFrame, units: DataFrame, index: DataFrame, norms: DataFrame) -> DataFrame:
+def citations_by_model(units: DataFrame, model: Callable[[str], str]) -> DataFrame:
+    """The same rows for units that the phrases miss but that may amend: a language model's reply names the place.
+
+    Off unless a model is given; replies that name none, or fail, give no row. Only units that pass the prefilter are sent.
+    """
+    text = F.col("accumulated_text")
+    todo = units.filter(X.amended(text).isNull() & X.may_amend(text)).select("norm_id", "comp_id", "unit_id", "accumulated_text")
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in batches:
+            said = []
+            for t in p.accumulated_text:
+                try:
+                    said.append(model(t))
+                except Exception:
+                    said.append(None)
+            yield p.assign(reply=said)
+
+    got = todo.mapInPandas(ask, "norm_id string, comp_id string, unit_id string, accumulated_text string, reply string")
+    return got.withColumn("citation_path", X.model_reply(F.col("reply"))).filter("citation_path is not null").drop("reply")
+
+
+def actions(rel: DataFrame, units: DataFrame, index: DataFrame, norms: DataFrame, model: Callable[[str], str] | None = None) -> DataFrame:
     """Amendments as links: eligible relation, amending component, amended component.
 
     ``rel`` has ``row_id``. Relations to documents without indexed components fall away before anything else is joined. Ids
@@ -52,7 +77,8 @@ def actions(rel: DataFrame, units: DataFrame, index: DataFrame, norms: DataFrame
     """
     known = index.select(F.col("norm_id").alias("to_norm_id")).distinct()
     r = relations(rel).filter(eligible(F.col("relation_type"))).join(known, "to_norm_id", "left_semi").select("row_id", "from_norm_id", "to_norm_id", "relation_type")
-    c = citations(units).withColumnRenamed("norm_id", "from_norm_id").withColumnRenamed("comp_id", "comp_a_id")
+    found = citations(units) if model is None else citations(units).unionByName(citations_by_model(units, model))
+    c = found.withColumnRenamed("norm_id", "from_norm_id").withColumnRenamed("comp_id", "comp_a_id")
     i = index.select(F.col("norm_id").alias("to_norm_id"), "citation_path", F.col("comp_id").alias("comp_b_id"))
     n = norms.select(F.col("norm_id").alias("from_norm_id"), "norm_number")
     a = r.join(c, "from_norm_id").join(i, ["to_norm_id", "citation_path"]).join(n, "from_norm_id", "left")

@@ -11,13 +11,15 @@ from normspark.operators.records import latest
 from normspark.session import cut, spread
 
 
-def transform(metadata: DataFrame, content: DataFrame, rel: DataFrame) -> dict[str, DataFrame]:
+def transform(metadata: DataFrame, content: DataFrame, rel: DataFrame, sample: int | None = None, model=None) -> dict[str, DataFrame]:
     """Norms, components, issues, text units, index, relations and actions from the three raw tables.
 
     Metadata and pages that come more than once count once (the latest). Documents without a page keep their norm row. The
-    amending side is the text of ``doc_id``, as relations list it.
+    amending side is the text of ``doc_id``, as relations list it. ``sample`` takes the first documents by id; ``model`` is a
+    language model for sentences that the phrases miss (none by default).
     """
     meta = latest(metadata, "id", "loaded_at", F.xxhash64("title"))
+    meta = meta.orderBy("id").limit(sample) if sample is not None else meta
     page = latest(content, "id", "loaded_at", F.xxhash64("content_html"))
     norms = extract.norms(meta)
     docs = page.join(meta.select("id"), "id", "left_semi").select(F.col("id").cast("string").alias("norm_id"), "content_html")
@@ -25,7 +27,7 @@ def transform(metadata: DataFrame, content: DataFrame, rel: DataFrame) -> dict[s
     comp, said = repair.repaired(tree.components(md.select("norm_id", "markdown")))
     tu = cut(units.text_units(comp, norms), "units")
     index = cut(units.component_index(comp), "index")
-    acts = cut(relations.actions(rel, tu, index, norms), "actions")
+    acts = cut(relations.actions(rel, tu, index, norms, model), "actions")
     return {"norms": norms, "components": comp.drop("ancestors", "raw_text"), "warnings": said, "text_units": tu, "component_index": index, "relations": relations.relations(rel), "actions": acts, "cache_units": relations.cache_units(acts)}
 
 
