@@ -251,3 +251,38 @@ def found(spark: SparkSession, sf_dir: str) -> DataFrame:
     across = pairs.join(m("a"), "a").join(m("b"), "b").select(F.col("ta").alias("source_table"), "ka", "kb")
     copies = m("a").join(member.select(F.col("id").alias("a"), F.col("key").alias("kb")), "a").filter("ka < kb").select(F.col("ta").alias("source_table"), "ka", "kb")
     return across.unionByName(copies).select("source_table", F.least("ka", "kb").alias("key_a"), F.greatest("ka", "kb").alias("key_b"))
+
+
+def connected(pairs: DataFrame) -> DataFrame:
+    """``id, root`` of the ids in ``pairs`` (a, b): the smallest id that links lead to, by large and small stars in turn.
+
+    Each round hangs the neighbours of a node on its smallest one; rounds grow with the logarithm of the longest chain. A
+    node with any number of links is a minimum and a join, never a list.
+    """
+    e = cut(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "links")
+    while True:
+        both_ = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both_.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both_.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u")
+        n = cut(small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
+        same = [x.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first() for x in (e, n)]
+        e = n
+        if same[0] == same[1]:
+            roots = e.select(F.col("v").alias("id")).distinct()
+            return e.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(roots.select("id", F.col("id").alias("root")))
+
+
+def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """p1_groups: every compared record with its class (equal sets), its links to other classes and its group.
+
+    One row per record: copies share a class and are not spread out into pairs. Runs of five words, similarity 0.8. The
+    group is named by its smallest key.
+    """
+    member, pairs = near_classes(both(spark, sf_dir))
+    pairs = cut(pairs, "verified")
+    links = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("links"))
+    m = member.join(links, "id", "left").join(connected(pairs), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    name = m.groupBy("root").agg(F.min("key").alias("group_key"))
+    return m.join(name, "root").select("source_table", F.col("key").alias("record_key"), F.hex("id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"), "group_key")

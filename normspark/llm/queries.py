@@ -6,6 +6,7 @@ from normspark.llm import encoding, language, lookalikes, markup, near_dup, pack
 
 QUERIES = {
     "p1_found": near_dup.found,
+    "p1_groups": near_dup.groups,
     "p2_found": markup.residue,
     "p2_clean": markup.cleaned,
     "p3_found": encoding.p3_found,

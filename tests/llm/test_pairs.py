@@ -102,3 +102,22 @@ def test_few_and_no_vectors(spark):
     df = spark.createDataFrame([("a", [1.0] * 64), ("b", [1.0] * 63 + [0.5])], "unit_id string, embedding array<float>")
     assert {r["unit_id"]: list(r["others"]) for r in V.nearest(V.usable(df)).collect()} == {"a": ["b"], "b": ["a"]}
     assert V.nearest(df.filter("false")).count() == 0
+
+
+def test_connected_equals_union_find(spark):
+    rng = random.Random(9)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(400 + i, 401 + i) for i in range(40)] + [(900, 900 + i) for i in range(1, 80)] + [(5, 5)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    got = {r["id"]: r["root"] for r in N.connected(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in root}
+    assert N.connected(spark.createDataFrame([], "a long, b long")).count() == 0
