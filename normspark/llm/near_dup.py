@@ -24,6 +24,8 @@ from normspark.session import cut
 
 TREES, DEPTH, REGION = 24, 6, 16
 SKETCH = 64
+#: Rows of one prefix that a task holds at once, some 50 MB.
+HELD = 1_000_000
 #: Two-bit agreement of 64 that a pair must reach to be verified; at a similarity of 0.55 the mean is 42.4, deviation 3.8.
 AGREE = 30
 _rng = np.random.default_rng(20240607)
@@ -181,7 +183,9 @@ def neighbours(prefix: np.ndarray, deeper: np.ndarray, ids: np.ndarray, s0: np.n
                 yield ids[ok], ids[ok + k]
 
 
-def _regions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _regions(batches: Iterator[pd.DataFrame], most: int = HELD) -> Iterator[pd.DataFrame]:
+    """Candidates of the sorted rows of a task. A prefix that more than ``most`` rows share is taken in parts that end where
+    the next level changes, each part with the rows just before it, so that neighbours across the cut still meet."""
     left: pd.DataFrame | None = None
 
     def out(p: pd.DataFrame) -> Iterator[pd.DataFrame]:
@@ -194,10 +198,14 @@ def _regions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if not len(p):
             continue
         whole = p.prefix.to_numpy() != p.prefix.iloc[-1]
-        n = int(whole.sum())
+        n = keep = int(whole.sum())
+        if not n and len(p) > most:
+            level = p.deeper.to_numpy() >> 48
+            n = int((level != level[-1]).sum())
+            keep = max(0, n - REGION)
         if n:
             yield from out(p.iloc[:n])
-        left = p.iloc[n:].reset_index(drop=True)
+        left = p.iloc[keep:].reset_index(drop=True)
     if left is not None and len(left):
         yield from out(left)
 

@@ -23,6 +23,14 @@ QUERIES = {
     "p10_documents": language.p10_documents,
     "p10_passages": language.p10_passages,
 }
+_NEAREST = """
+WITH u AS (SELECT unit_id, embedding FROM (SELECT *, row_number() OVER (PARTITION BY unit_id ORDER BY updated_at DESC NULLS LAST) AS rn FROM text_unit WHERE type = 'noi_dung' AND unit_id IS NOT NULL) WHERE rn = 1),
+v AS (SELECT unit_id, embedding::DOUBLE[] AS e FROM u WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+w AS (SELECT unit_id, e, sqrt(list_dot_product(e, e)) AS n FROM v),
+s AS (SELECT a.unit_id AS a, b.unit_id AS b, round(list_dot_product(a.e, b.e) / a.n / b.n, 12) AS s FROM w a JOIN w b ON a.unit_id <> b.unit_id),
+k AS (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY s DESC, b) AS rank FROM s)
+"""
 ORACLES: dict[str, str] = {
+    "p7_found": _NEAREST + "SELECT DISTINCT least(a, b) AS unit_a, greatest(a, b) AS unit_b FROM k WHERE rank <= 5",
     "p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }

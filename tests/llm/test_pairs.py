@@ -75,6 +75,17 @@ def test_dense_regions_keep_their_neighbours():
     assert len(met) == n and n * 8 < pairs < n * 200
 
 
+def test_a_hot_prefix_is_taken_in_parts():
+    import pandas as pd
+
+    rng = np.random.default_rng(1)
+    n = 4000
+    d = np.sort(rng.integers(-(2**62), 2**62, n))
+    p = pd.DataFrame({"prefix": np.r_[np.zeros(n - 5, np.int64), np.ones(5, np.int64)], "deeper": d, "id": np.arange(n), "s0": 0, "s1": 0})
+    run = lambda most: set(map(tuple, pd.concat(N._regions((p.iloc[i : i + 500] for i in range(0, n, 500)), most)).to_numpy()))
+    assert run(1000) == run(10**9)
+
+
 def knn(ids, x, k):
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     s = np.round(u @ u.T, 12)
