@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -50,8 +51,8 @@ def _drop_made() -> None:
     for spark, path in _made:
         try:
             drop_path(spark, path)
-        except Exception:
-            pass
+        except Exception:  # the session has ended before: what is on this machine can still be removed
+            shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
