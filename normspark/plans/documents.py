@@ -59,7 +59,7 @@ def nested_documents(s, d):
     m = extract.matched(_meta(s, d), WORDS).select(F.col("id").cast("string").alias("owner"), "title")
     a = extract.attached(table(s, d, "relationships"), m.select(F.col("owner").alias("id")))
     a = a.groupBy("owner").agg(F.array_sort(F.collect_list(F.struct("row_id", "other_doc_id", "relationship", "direction"))).alias("r"))
-    return m.join(a, "owner", "left").select("owner", "title", F.to_json(F.coalesce(F.col("r"), F.array().cast("array<struct<row_id:bigint,other_doc_id:string,relationship:string,direction:string>>"))).alias("relationships"))
+    return m.join(a, "owner", "left").select("owner", "title", F.to_json(F.coalesce(F.col("r"), F.array().cast("array<struct<row_id:bigint,other_doc_id:string,relationship:string,direction:string>>")), {"ignoreNullFields": "false"}).alias("relationships"))
 
 
 def sample_first(s, d):
@@ -123,6 +123,8 @@ ORACLES = {
     "edge_filter": f"WITH {_META}, {_HIT}, {_EDGES} SELECT row_id, doc_id, other_doc_id, coalesce(out_, false) AS out_, coalesce(in_, false) AS in_ FROM f",
     "attached_relations": f"WITH {_META}, {_HIT}, {_EDGES} {_OWNED}",
     "attached_first": f"WITH {_META}, {_HIT}, {_EDGES} {_OWNED} ORDER BY row_id LIMIT 50",
+    "nested_documents": f"""WITH {_META}, {_HIT}, {_EDGES}, o AS ({_OWNED}), j AS (SELECT owner, list(struct_pack(row_id := row_id, other_doc_id := other_doc_id, relationship := relationship, direction := direction) ORDER BY row_id) AS r FROM o GROUP BY 1)
+      SELECT CAST(m.id AS VARCHAR) AS owner, title, CASE WHEN r IS NULL THEN '[]' ELSE CAST(to_json(r) AS VARCHAR) END AS relationships FROM m LEFT JOIN j ON j.owner = CAST(m.id AS VARCHAR) WHERE CAST(m.id AS VARCHAR) IN (SELECT id FROM h)""",
     "sample_first": f"WITH {_META}, {_CONTENT}, n AS (SELECT id, title FROM m ORDER BY id LIMIT 20) SELECT n.id, n.title, length(content_html) AS chars FROM n LEFT JOIN c USING (id)",
     "metadata_without_content": f"WITH {_META} SELECT id, title FROM m WHERE id NOT IN (SELECT id FROM content WHERE id IS NOT NULL)",
     "content_left_default": f"WITH {_META}, {_CONTENT} SELECT m.id, length(coalesce(content_html, '')) AS chars FROM m LEFT JOIN c USING (id)",

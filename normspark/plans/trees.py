@@ -242,7 +242,14 @@ k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY comp_id ORDER BY
 u AS (SELECT norm_id, comp_id, CASE WHEN order_index % 3 = 0 THEN 'Khoản ' || (order_index % 4 + 1) || ' > Điều ' || (order_index % 5 + 1) ELSE 'Điều ' || (order_index % 7 + 1) END AS citation_path FROM k WHERE order_index IS NOT NULL)
 """
 
+_SP = r"[\s\x{a0}\x{2000}-\x{200a}\x{202f}\x{3000}]"
+_AT = rf"(?:Điểm{_SP}+[a-zđ]\)?{_SP}+)?(?:Khoản{_SP}+[0-9０-９]+[a-zđ]?{_SP}+)?Điều{_SP}+[0-9０-９]"
+_PHRASE = rf'(?i)(?:(?:Sửa đổi|Bổ sung|Bãi bỏ){_SP}+|Thay thế cụm từ{_SP}*"[^"]+"{_SP}*bằng cụm từ{_SP}*"[^"]+"{_SP}+tại{_SP}+|Bỏ cụm từ{_SP}*"[^"]+"{_SP}+tại{_SP}+){_AT}'
+_NEAR = rf"(?is)(?:sửa đổi|bổ sung|bãi bỏ|thay thế|bỏ cụm).{{0,300}}Điều{_SP}+[0-9０-９]"
+_LATEST_UNITS = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY unit_id ORDER BY updated_at DESC) AS rn FROM text_unit WHERE type = 'noi_dung') WHERE rn = 1)"
+
 ORACLES = {
+    "extraction_outcomes": f"SELECT CASE WHEN regexp_matches(accumulated_text, '{_PHRASE}') THEN 'regex_hit' WHEN regexp_matches(accumulated_text, '{_NEAR}') THEN 'prefilter_hit' ELSE 'prefilter_skip' END AS outcome, count(*) AS n FROM {_LATEST_UNITS} WHERE regexp_replace(accumulated_text, '^{_SP}+|{_SP}+$', '', 'g') <> '' GROUP BY 1",
     "parse_roundtrip": f"WITH {_ROUND} SELECT * FROM f",
     "accumulated_text": f"""WITH {_ROUND} SELECT f.comp_id || '__tu' AS unit_id, '[' || concat_ws(' > ', 'Văn bản ' || f.norm_id, CASE WHEN g.comp_id IS NOT NULL THEN g.citation || ' ' || g.title_text END, CASE WHEN p.comp_id IS NOT NULL THEN p.citation || ' ' || p.title_text END) || ']' || chr(10) || f.title_text AS accumulated_text, 'noi_dung' AS type
       FROM f LEFT JOIN f p ON p.comp_id = f.parent_comp_id LEFT JOIN f g ON g.comp_id = p.parent_comp_id WHERE f.raw_text IS NOT NULL""",
