@@ -21,7 +21,8 @@ from normspark.session import cut, table
 K, DIM = 5, 64
 #: Rows of a stripe: some 20 MB in a task, whatever the number of vectors.
 STRIPE = 16384
-TILE = 2048
+#: Rows and columns of a tile: it stays in the processor's cache between product and comparison.
+TILE, WIDE = 512, 2048
 SALTS = 64
 
 
@@ -101,18 +102,21 @@ class Stripe:
         keys, base = p.vkey.to_numpy(), len(self.names)
         self.names += [x[0] for x in p.ids]
         self.members += list(p.ids)
+        product, over = np.empty((TILE, WIDE), np.float32), np.empty((TILE, WIDE), bool)
         for lo in range(0, len(self.keys), TILE):
             rows = slice(lo, lo + TILE)
-            for c in range(0, len(keys), TILE):
-                cols = slice(c, c + TILE)
-                tile = self.near[rows] @ near[cols].T
+            for c in range(0, len(keys), WIDE):
+                cols = slice(c, c + WIDE)
+                m, n = len(self.keys[rows]), len(keys[cols])
+                tile = np.matmul(self.near[rows], near[cols].T, out=product[:m, :n] if n == WIDE else None)
                 slack = self.err[rows] + err[cols].max() * (1 + self.err[rows])
                 least = self.best.least()[rows]
                 if not np.isfinite(least).all():  # nothing known yet: the k best of this tile (and itself) bound from below
-                    kth = min(self.k + 1, tile.shape[1])
-                    guess = np.partition(tile, tile.shape[1] - kth, axis=1)[:, tile.shape[1] - kth] - slack if tile.shape[1] > self.k else np.full(len(tile), -np.inf)
+                    kth = min(self.k + 1, n)
+                    guess = np.partition(tile, n - kth, axis=1)[:, n - kth] - slack if n > self.k else np.full(m, -np.inf)
                     least = np.maximum(least, guess)
-                i, j = np.nonzero(tile >= (least - slack).astype(np.float32)[:, None] - np.float32(1e-6))
+                ok = np.greater_equal(tile, ((least - slack).astype(np.float32) - np.float32(1e-6))[:, None], out=over[:m, :n] if n == WIDE else None)
+                i, j = np.divmod(np.flatnonzero(ok.ravel()), n)
                 i, j = i + lo, j + c
                 ok = self.keys[i] != keys[j]
                 i, j = i[ok], j[ok]
