@@ -281,12 +281,12 @@ def restored(records: DataFrame) -> DataFrame:
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of text_unit and pages of content with any garbled text."""
-    return garbled(both(spark, sf_dir)).select("source_table", F.col("key").alias("record_key"))
+    return garbled(both(spark, sf_dir, suspicious)).select("source_table", F.col("key").alias("record_key"))
 
 
 def p3_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Garbled records with their chain, its confidence and the original text (null where something was lost)."""
-    return restored(cut(both(spark, sf_dir).filter(suspicious(F.col("text"))), "suspicious")).withColumnRenamed("key", "record_key")
+    return restored(cut(both(spark, sf_dir, suspicious).filter("text is not null"), "suspicious")).withColumnRenamed("key", "record_key")
 
 
 def garbled_units(units: DataFrame) -> DataFrame:

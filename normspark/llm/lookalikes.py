@@ -138,6 +138,21 @@ def normalised(records: DataFrame, words: dict[str, int]) -> DataFrame:
     return r.mapInPandas(run, "source_table string, key string, text string, form string")
 
 
+def forms(records: DataFrame, words: dict[str, int]) -> DataFrame:
+    """``source_table, key, form, changed`` of every record; plain texts pass without leaving the JVM, nulls stay null."""
+    plain = F.coalesce(~odd(F.col("text")), F.lit(True))
+    same = records.filter(plain).select("source_table", "key", F.col("text").alias("form"), F.lit(False).alias("changed"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        root = trie(words)
+        for p in batches:
+            form = [consistent(t, root) for t in p.text]
+            yield pd.DataFrame({"source_table": p.source_table, "key": p.key, "form": form, "changed": [a != b for a, b in zip(form, p.text)]})
+
+    rest = records.filter(~plain).select("source_table", "key", "text").mapInPandas(run, "source_table string, key string, form string, changed boolean")
+    return same.unionByName(rest)
+
+
 def _other(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "component").select("comp_id", "updated_at", F.col("citation").alias("text"))
     c = latest(c, "comp_id", "updated_at", F.xxhash64("text")).select(F.lit("component").alias("source_table"), F.col("comp_id").alias("key"), "text")
@@ -152,16 +167,16 @@ def _words(spark: SparkSession, sf_dir: str) -> dict[str, int]:
 
 
 def p6_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The consistent form of every value that differs from it."""
+    """The consistent form of every value, and whether it differs from what is stored."""
     u = text_units(spark, sf_dir).select(F.lit("text_unit").alias("source_table"), "key", "text")
-    n = normalised(u.unionByName(_other(spark, sf_dir)), _words(spark, sf_dir))
-    return n.select("source_table", F.col("key").alias("record_key"), "form")
+    f = forms(u.unionByName(_other(spark, sf_dir)), _words(spark, sf_dir))
+    return f.select("source_table", F.col("key").alias("record_key"), "form", "changed")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records whose text differs from its consistent form, garbled ones left out."""
     # what is neither garbled nor unusual needs no further look: the rest is small and is read twice
-    u = cut(text_units(spark, sf_dir).filter(odd(F.col("text")) | F.col("text").rlike(r"\?\p{L}")), "unusual")
+    u = cut(text_units(spark, sf_dir, lambda c: odd(c) | c.rlike(r"\?\p{L}")).filter("text is not null"), "unusual")
     g = garbled_units(u)
     n = normalised(u.select(F.lit("text_unit").alias("source_table"), "key", "text"), w := _words(spark, sf_dir)).select("source_table", "key")
     n = n.join(g, "key", "left_anti").select("source_table", "key").unionByName(normalised(_other(spark, sf_dir), w).select("source_table", "key"))

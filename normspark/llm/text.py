@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import html as _html
 import re
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from normspark.operators.records import latest
@@ -31,21 +32,30 @@ def body(text: str | None) -> str:
     return "" if not text else text.partition("\n")[2]
 
 
-def text_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``key, text`` of each content unit, one row per unit_id (latest updated_at)."""
-    t = table(spark, sf_dir, "text_unit").select("unit_id", "type", "updated_at", F.col("accumulated_text").alias("text"))
-    return latest(t.filter("type = 'noi_dung'"), "unit_id", "updated_at", F.xxhash64("text")).select(F.col("unit_id").alias("key"), "text")
+def text_units(spark: SparkSession, sf_dir: str, only: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``key, text`` of each content unit, one row per unit_id (latest updated_at).
 
+    ``only`` tells of a text whether it matters: others are null in the result, so that they need not be moved to find the
+    latest row.
+    """
+    t = table(spark, sf_dir, "text_unit").filter("type = 'noi_dung'").select("unit_id", "updated_at", *_text("accumulated_text", only))
+    return latest(t, "unit_id", "updated_at", F.col("tie")).select(F.col("unit_id").alias("key"), "text")
 
-def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``key, text`` (html) of each content page, one row per id."""
-    t = table(spark, sf_dir, "content").select("id", "loaded_at", F.col("content_html").alias("text"))
-    return latest(t, "id", "loaded_at", F.xxhash64("text")).select(F.col("id").cast("string").alias("key"), "text")
 
+def contents(spark: SparkSession, sf_dir: str, only: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``key, text`` (html) of each content page, one row per id; ``only`` as for units."""
+    t = table(spark, sf_dir, "content").select("id", "loaded_at", *_text("content_html", only))
+    return latest(t, "id", "loaded_at", F.col("tie")).select(F.col("id").cast("string").alias("key"), "text")
 
-def both(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def _text(column: str, only: Callable[[Column], Column] | None) -> list[Column]:
+    c = F.col(column)
+    return [F.xxhash64(c).alias("tie"), (c if only is None else F.when(only(c), c)).alias("text")]
+
+
+def both(spark: SparkSession, sf_dir: str, only: Callable[[Column], Column] | None = None) -> DataFrame:
     """``source_table, key, text`` of the records of text_unit and content."""
     return (
-        text_units(spark, sf_dir).select(F.lit("text_unit").alias("source_table"), "key", "text")
-        .unionByName(contents(spark, sf_dir).select(F.lit("content").alias("source_table"), "key", "text"))
+        text_units(spark, sf_dir, only).select(F.lit("text_unit").alias("source_table"), "key", "text")
+        .unionByName(contents(spark, sf_dir, only).select(F.lit("content").alias("source_table"), "key", "text"))
     )

@@ -78,6 +78,8 @@ def test_one_form_for_what_looks_alike(spark):
     df = spark.createDataFrame([("metadata", str(i), t, 1) for i, t in enumerate(same)] + [("metadata", "null", None, 1), ("metadata", "empty", "", 1)], "source_table string, key string, text string, form int")
     got = K.normalised(df, words).collect()
     assert {r["key"] for r in got} == {str(i) for i in range(1, len(same))} and {r["form"] for r in got} == {"Khoản 1"}
+    every = {r["key"]: (r["form"], r["changed"]) for r in K.forms(df, words).collect()}
+    assert every["0"] == ("Khoản 1", False) and every["2"] == ("Khoản 1", True) and every["null"] == (None, False) and every["empty"] == ("", False) and len(every) == len(same) + 2
     assert K.vocabulary(df, 3)["Khoản"] >= 1 and K.normalised(df.filter("false"), words).count() == 0
 
 
