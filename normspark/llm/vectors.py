@@ -75,8 +75,10 @@ class Best:
         r = np.concatenate([row, np.repeat(rows, old.sum(1))])
         s = np.concatenate([sim, self.sim[rows][old]])
         a = np.concatenate([at, self.at[rows][old]])
-        tie = np.array([names[i] for i in a])
-        o = np.lexsort((tie, -np.round(s, 12), r))
+        s = np.round(s, 12)
+        o = np.lexsort((-s, r))
+        if ((r[o][1:] == r[o][:-1]) & (s[o][1:] == s[o][:-1])).any():  # names only where they decide
+            o = np.lexsort((np.array([names[i] for i in a]), -s, r))
         r, s, a = r[o], s[o], a[o]
         first = np.searchsorted(r, rows)
         place = np.arange(len(r)) - first[np.searchsorted(rows, r)]
@@ -123,7 +125,8 @@ class Stripe:
                 for at in range(0, len(i), 1 << 17):  # gathered in pieces
                     a, b = i[at : at + (1 << 17)], j[at : at + (1 << 17)]
                     sim = np.einsum("ij,ij->i", self.unit[a], unit[b])
-                    self.best.merge(a, sim, b + base, self.names)
+                    near_ = np.round(sim, 12) >= self.best.least()[a]  # what int8 could not tell apart
+                    self.best.merge(a[near_], sim[near_], b[near_] + base, self.names)
         if len(self.names) > 200_000:  # forget what is in no list any more
             used = np.unique(self.best.at[self.best.at >= 0])
             self.best.at = np.where(self.best.at >= 0, np.searchsorted(used, self.best.at), -1)
