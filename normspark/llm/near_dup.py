@@ -2,10 +2,9 @@
 
 Each record becomes the set of its runs of ``SHINGLE`` words. Records with equal sets form a class and only one
 representative goes on. A representative gets ``TREES`` labels, each a sequence of min-hashes. Rows of one tree are
-sorted by label; a *region* is a run of rows with a common prefix. The depth of a region adapts: the shortest prefix (2 at
-least) that at most ``REGION`` rows share, down to ``DEPTH``. Within a region rows are compared with those that follow in
-the order, by two-bit min-hash sketches; denser regions are also compared with their ``REGION`` next neighbours across
-the deeper prefixes. Surviving pairs are verified on the exact sets.
+sorted by label; a *region* is a run of rows with a common prefix of two levels. All rows of a region are compared with
+each other by two-bit min-hash sketches, however many they are: small regions along the order, dense ones in tiles, and the
+densest in pairs of salted blocks that are spread over the tasks. Surviving pairs are verified on the exact sets.
 """
 
 from __future__ import annotations
@@ -24,8 +23,12 @@ from normspark.session import cut
 
 TREES, DEPTH, REGION = 24, 6, 16
 SKETCH = 64
-#: Rows of one prefix that a task holds at once, some 50 MB.
+#: Candidates that a task gathers before it hands them on.
 HELD = 1_000_000
+#: Rows of a region that are compared at once: 512 x 512 sketches stay in the processor's cache.
+TILE = 512
+#: A region of more rows goes in blocks of about so many; how many it has is judged from one row in SAMPLE.
+BLOCK, SAMPLE = 16_384, 16
 #: Two-bit agreement of 64 that a pair must reach to be verified; at a similarity of 0.55 the mean is 42.4, deviation 3.8.
 AGREE = 30
 _rng = np.random.default_rng(20240607)
@@ -114,7 +117,7 @@ def signed(records: DataFrame, run: int, least_words: int) -> DataFrame:
 
 
 def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The rows of the trees: ``prefix`` (tree and two levels), ``deeper`` (four more levels), ``id`` and a sketch."""
+    """The rows of the trees: ``prefix`` (tree and two levels), ``id`` and a sketch."""
     for pdf in batches:
         for lo in range(0, len(pdf), 4000):
             p = pdf.iloc[lo : lo + 4000]
@@ -125,21 +128,17 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             sk = [np.bitwise_or.reduce(bits[:, h : h + half] << (np.arange(half, dtype=np.uint64) * np.uint64(2)), axis=1) for h in (0, half)]
             parts = []
             for t in range(TREES):
-                level = lambda d, t=t: m[:, (t * 3 + d) % PERMS if d < 3 else (t * 3 + 31 + 7 * d) % PERMS]
-                prefix = _mix(_mix(_mix(src + np.uint64(t)) + level(0)) + level(1))
-                deeper = np.zeros(len(p), np.uint64)
-                for d in range(2, DEPTH):
-                    deeper = (deeper << np.uint64(16)) | (_mix(level(d)) & np.uint64(0xFFFF))
-                parts.append(pd.DataFrame({"prefix": prefix.view(np.int64), "deeper": deeper.view(np.int64), "id": p.id.to_numpy(), "s0": sk[0].view(np.int64), "s1": sk[1].view(np.int64)}))
+                prefix = _mix(_mix(_mix(src + np.uint64(t)) + m[:, t * 3]) + m[:, t * 3 + 1])
+                parts.append(pd.DataFrame({"prefix": prefix.view(np.int64), "id": p.id.to_numpy(), "s0": sk[0].view(np.int64), "s1": sk[1].view(np.int64)}))
             yield pd.concat(parts)
 
 
 def _agreement(s0: np.ndarray, s1: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     one = np.uint64(0x5555555555555555)
-    n = np.zeros(len(i), np.int64)
+    n = np.uint8(0)
     for s in (s0, s1):
         x = s[i] ^ s[j]
-        n += np.bitwise_count((x | (x >> np.uint64(1))) & one)
+        n = n + np.bitwise_count((x | (x >> np.uint64(1))) & one)
     return SKETCH - n
 
 
@@ -183,33 +182,87 @@ def neighbours(prefix: np.ndarray, deeper: np.ndarray, ids: np.ndarray, s0: np.n
                 yield ids[ok], ids[ok + k]
 
 
+def _all_pairs(ids: np.ndarray, s0: np.ndarray, s1: np.ndarray, split: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidate pairs among all rows of a region, or, with ``split``, of the rows before it with those from it on."""
+    n = len(ids)
+    for lo in range(0, split or n, TILE):
+        i = np.arange(lo, min(lo + TILE, split or n))[:, None]
+        for at in range(split or lo, n, TILE):
+            j = np.arange(at, min(at + TILE, n))[None, :]
+            x, y = np.nonzero(_agreement(s0, s1, i, j) >= AGREE)
+            if at == lo:
+                x, y = x[x < y], y[x < y]
+            if len(x):
+                yield ids[lo + x], ids[at + y]
+
+
 def _regions(batches: Iterator[pd.DataFrame], most: int = HELD) -> Iterator[pd.DataFrame]:
-    """Candidates of the sorted rows of a task. A prefix that more than ``most`` rows share is taken in parts that end where
-    the next level changes, each part with the rows just before it, so that neighbours across the cut still meet."""
+    """Candidates of the rows of a task, sorted by ``prefix`` (and ``side``, where there is one), in frames of about ``most``.
+
+    side is 0 where a row meets all rows of its prefix, and 1 or 2 where it meets the rows of the other side.
+    """
     left: pd.DataFrame | None = None
+    got: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def pairs(p: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        prefix, ids = p.prefix.to_numpy(), p.id.to_numpy()
+        s0, s1 = p.s0.to_numpy().view(np.uint64), p.s1.to_numpy().view(np.uint64)
+        side = p.side.to_numpy() if "side" in p else np.zeros(len(p), np.int64)
+        ends = np.r_[np.flatnonzero(prefix[1:] != prefix[:-1]) + 1, len(p)]
+        size = np.diff(ends, prepend=0)
+        few = np.repeat(size <= REGION, size)
+        yield from neighbours(prefix[few], np.zeros(int(few.sum()), np.uint64), ids[few], s0[few], s1[few])
+        for hi, n in zip(ends[size > REGION], size[size > REGION]):
+            r = slice(hi - n, hi)
+            firsts = int((side[r] == 1).sum())
+            if side[r].all():
+                if 0 < firsts < n:
+                    yield from _all_pairs(ids[r], s0[r], s1[r], firsts)
+            else:
+                yield from _all_pairs(ids[r], s0[r], s1[r])
+
+    def frame() -> pd.DataFrame:
+        x, y = (np.concatenate(c) for c in zip(*got))
+        got.clear()
+        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
 
     def out(p: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        a = [p[c].to_numpy() for c in ("prefix", "deeper", "id", "s0", "s1")]
-        for x, y in neighbours(a[0], a[1].view(np.uint64), a[2], a[3].view(np.uint64), a[4].view(np.uint64)):
-            yield pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+        n = 0
+        for x in pairs(p):
+            got.append(x)
+            n += len(x[0])
+            if n >= most:
+                yield frame()
+                n = 0
+        if got:
+            yield frame()
 
     for pdf in batches:
         p = pdf if left is None else pd.concat([left, pdf], ignore_index=True)
         if not len(p):
             continue
-        whole = p.prefix.to_numpy() != p.prefix.iloc[-1]
-        n = keep = int(whole.sum())
-        if not n and len(p) > most:
-            level = p.deeper.to_numpy() >> 48
-            n = int((level != level[-1]).sum())
-            keep = max(0, n - REGION)
+        n = int((p.prefix.to_numpy() != p.prefix.iloc[-1]).sum())
         if n:
             yield from out(p.iloc[:n])
-        left = p.iloc[keep:].reset_index(drop=True)
+        left = p.iloc[n:].reset_index(drop=True)
     if left is not None and len(left):
         yield from out(left)
 
 
+def in_blocks(rows: DataFrame, dense: DataFrame) -> DataFrame:
+    """``rows`` of the trees with a ``side``; those of a prefix in ``dense`` (prefix, blocks) once for each pair of blocks.
+
+    A row's own block is drawn by its id. Any two rows of a prefix meet in just one pair of blocks, so whatever ``dense``
+    says of a prefix changes where its rows are compared, not which ones.
+    """
+    own, one = F.pmod(F.xxhash64("id"), F.col("blocks")), F.col("blocks").isNull()
+    r = rows.join(dense, "prefix", "left").withColumn("own", own)
+    r = r.withColumn("other", F.explode(F.when(one, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
+    prefix = F.when(one, F.col("prefix")).otherwise(F.xxhash64("prefix", F.least("own", "other"), F.greatest("own", "other")))
+    side = F.when(one | (F.col("own") == F.col("other")), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
+    return r.select(prefix.alias("prefix"), "id", "s0", "s1", side.cast("long").alias("side"))
+
+
 def _exact(least: float):
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
@@ -224,7 +277,7 @@ def _exact(least: float):
     return check
 
 
-def near_classes(records: DataFrame, run: int = 5, least: float = 0.8, least_words: int = 30) -> tuple[DataFrame, DataFrame]:
+def near_classes(records: DataFrame, run: int = 5, least: float = 0.8, least_words: int = 30, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """Membership ``source_table, key, id`` (equal shingle sets share an id) and pairs ``a, b, similarity`` of ids (a < b).
 
     Null, empty and short texts have no row. Repeated keys are taken as given (callers pass one row per key). Long texts
@@ -236,9 +289,13 @@ def near_classes(records: DataFrame, run: int = 5, least: float = 0.8, least_wor
     first = member.groupBy("id").agg(F.min("key").alias("first"), F.count("*").alias("n")).filter("n > 1")
     others = cut(member.join(first, "id").filter("key > first").select("source_table", "key"), "copies")
     reps = s.join(others, ["source_table", "key"], "left_anti")
-    rows = reps.select("source_table", "id", "grams").mapInPandas(_forest, "prefix long, deeper long, id long, s0 long, s1 long")
-    # the order within a region only has to be one order of bit patterns, so signed comparison is as good as any
-    cand = rows.repartition("prefix").sortWithinPartitions("prefix", "deeper").mapInPandas(_regions, "a long, b long").distinct()
+    trees = lambda r: r.select("source_table", "id", "grams").mapInPandas(_forest, "prefix long, id long, s0 long, s1 long")
+    dense = trees(reps.filter(F.pmod("id", F.lit(SAMPLE)) == 0)).groupBy("prefix").agg(F.count("*").alias("n")).filter(F.col("n") > block / SAMPLE)
+    dense = cut(dense.select("prefix", F.ceil(F.col("n") * SAMPLE / block).alias("blocks")), "dense")
+    rows, by = trees(reps), ["prefix"]
+    if dense.limit(1).count():
+        rows, by = in_blocks(rows, dense), ["prefix", "side"]
+    cand = rows.repartition("prefix").sortWithinPartitions(*by).mapInPandas(_regions, "a long, b long").distinct()
     cand = cut(cand, "pairs")
     ids = cand.select(F.col("a").alias("id")).union(cand.select("b")).distinct()
     # most sets are in no pair: a filter of bounded size keeps them out of the shuffle, the joins are exact

@@ -86,6 +86,34 @@ def test_a_hot_prefix_is_taken_in_parts():
     assert run(1000) == run(10**9)
 
 
+def test_a_large_group_of_near_copies_keeps_its_pairs(spark):
+    """400 rows that all share a template: about the pairs that stand near the threshold, in one piece and in blocks."""
+    rng = random.Random(5)
+    base = [f"mẫu{i}" for i in range(60)]
+    recs = []
+    for i in range(400):
+        t = base + [f"riêng{i}x{k}" for k in range(rng.randint(18, 26))]
+        recs.append(("text_unit", f"u{i:03}", "[x]\n" + " ".join(t)))
+    df = spark.createDataFrame(recs, "source_table string, key string, text string")
+    want = brute(recs, 3, 0.55)
+    assert 40_000 < len(want) < 79_800
+    for block in (N.BLOCK, 100):
+        got = expand(*N.near_classes(df, 3, 0.55, block=block))
+        assert not got - want and len(got) >= 0.995 * len(want)
+
+
+def test_blocks_meet_all_rows_of_a_region_once():
+    import pandas as pd
+
+    n = 1500
+    p = pd.DataFrame({"prefix": np.zeros(n, np.int64), "id": np.arange(n), "s0": 0, "s1": 0})
+    both_sides = p.assign(side=np.where(p.id < 700, 1, 2))
+    all_ = pd.concat(N._regions(iter([p.iloc[:600], p.iloc[600:]])))
+    across = pd.concat(N._regions(iter([both_sides])))
+    assert len(all_) == len(all_.drop_duplicates()) == n * (n - 1) // 2
+    assert len(across) == len(across.drop_duplicates()) == 700 * 800 and (across.a < 700).all() and (across.b >= 700).all()
+
+
 def knn(ids, x, k):
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     s = np.round(u @ u.T, 12)
