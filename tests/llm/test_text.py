@@ -40,6 +40,24 @@ def test_style_tree_drops_site_furniture_only(spark):
     assert M.cleaned_pages(df.filter("false")).count() == 0
 
 
+def test_copies_of_a_page_are_not_furniture(spark):
+    copy = "<div class='nav'>Trang chủ</div><h1>Luật mẫu</h1><p>Nội dung chung</p>"
+    pages = [(f"c{i}", copy, "h") for i in range(900)] + [(str(i), f"<div class='nav'>Trang chủ</div><h1>Luật {i}</h1><p>Nội dung {i}</p>", "h") for i in range(60)]
+    df = spark.createDataFrame(pages, "key string, text string, host string")
+    got = {r["key"]: r["texts"] for r in M.cleaned_pages(df).collect()}
+    assert got["c0"] == got["c899"] == ["Luật mẫu", "Nội dung chung"] and got["7"] == ["Luật 7", "Nội dung 7"]
+
+
+def test_markup_in_furniture_and_copies_is_found(spark, tmp_path):
+    at = "2024-01-01 00:00:00"
+    rows = [(i, f"<div class='foot'>Xem **tại đây**</div><p>Nội dung {i}</p>" if i < 60 else "<div class='foot'>Xem **tại đây**</div><p>Theo \\frac{1}{2} và $x^2$</p>", at) for i in range(100)]
+    spark.createDataFrame(rows, "id long, content_html string, loaded_at string").withColumn("loaded_at", F.to_timestamp("loaded_at")).write.parquet(f"{tmp_path}/content.parquet")
+    spark.createDataFrame([(i, at, "một nguồn") for i in range(100)], "id long, loaded_at string, nguon_thu_thap string").withColumn("loaded_at", F.to_timestamp("loaded_at")).write.parquet(f"{tmp_path}/metadata.parquet")
+    spark.createDataFrame([], "unit_id string, accumulated_text string, type string, updated_at timestamp").write.parquet(f"{tmp_path}/text_unit.parquet")
+    got = {(r["record_key"], r["family"]) for r in M.residue(spark, str(tmp_path)).collect()}
+    assert got == {(str(i), "markdown") for i in range(100)} | {(str(i), "latex") for i in range(60, 100)}
+
+
 GARBLED = {
     "cp1252": CLEAN.encode().decode("latin-1"), "mac_roman": CLEAN.encode().decode("mac_roman"), "cp850": CLEAN.encode().decode("cp850"), "twice": CLEAN.encode().decode("latin-1").encode().decode("latin-1"),
     "tcvn": "".join({v: chr(k) for k, v in E.TCVN3.items()}.get(c, c) for c in CLEAN),
