@@ -129,23 +129,48 @@ def hierarchy(nodes: DataFrame, paths: bool = True, local_nodes: int = LOCAL_NOD
     return done
 
 
-def ancestors(nodes: DataFrame, resolved: DataFrame) -> DataFrame:
-    """``comp_id, descendant, distance``: every node with each node below it, loops not followed.
+def _all_below(links: DataFrame) -> DataFrame:
+    """``comp_id, descendant, distance`` of all that lies below by ``links`` (comp_id, parent), which hold no loop.
 
     Pairs are built by doubling: what lies 1..2k steps below is what lies up to k below, and what lies up to k below that.
     """
-    ok = resolved.filter("depth >= 0").select("comp_id", "depth")
-    n = nodes.select(F.col("comp_id").alias("descendant"), F.col("parent").alias("comp_id"))
-    n = n.join(ok.filter("depth > 0").select(F.col("comp_id").alias("descendant")), "descendant", "left_semi")
-    near = cut(n.select("comp_id", "descendant", F.lit(1).cast("long").alias("distance")), "below")
-    deepest = ok.agg(F.max("depth")).first()[0] or 0
+    near = cut(links.select(F.col("parent").alias("comp_id"), F.col("comp_id").alias("descendant"), F.lit(1).cast("long").alias("distance")), "below")
     step = 1
-    while step < deepest:
+    while True:
         far = near.filter(F.col("distance") == step).select(F.col("comp_id").alias("top"), F.col("descendant").alias("comp_id"))
-        more = near.join(far, "comp_id").select(F.col("top").alias("comp_id"), "descendant", (F.col("distance") + step).alias("distance"))
-        near = near.unionByName(cut(more, "below"))
+        more = cut(near.join(far, "comp_id").select(F.col("top").alias("comp_id"), "descendant", (F.col("distance") + step).alias("distance")), "below")
+        if not more.limit(1).count():
+            return near
+        near = near.unionByName(more)
         step *= 2
-    return near
+
+
+def ancestors(nodes: DataFrame, resolved: DataFrame) -> DataFrame:
+    """``comp_id, descendant, distance``: every node with each node below it, over trees with a root only."""
+    return _all_below(nodes.join(resolved.filter("depth > 0").select("comp_id"), "comp_id", "left_semi"))
+
+
+def loop_members(nodes: DataFrame, resolved: DataFrame) -> DataFrame:
+    """``comp_id`` of the members of loops, without what hangs below them: where enough steps up lead, by pointer doubling."""
+    lost = resolved.filter("depth < 0").select("comp_id")
+    s = cut(nodes.join(lost, "comp_id", "left_semi").select("comp_id", F.col("parent").alias("to")), "loop")
+    ends = s.select("to").distinct()
+    n = ends.count()
+    while n:
+        o = s.select(F.col("comp_id").alias("oid"), F.col("to").alias("oto"))
+        s = cut(s.join(o, s["to"] == F.col("oid")).select("comp_id", F.col("oto").alias("to")), "loop")
+        ends = s.select("to").distinct()
+        was, n = n, ends.count()
+        if was == n:  # the ends of 2k steps are those of k, so no tail is left
+            break
+    return ends.select(F.col("to").alias("comp_id"))
+
+
+def descendants(nodes: DataFrame, resolved: DataFrame) -> DataFrame:
+    """``comp_id, descendant, distance``: every node with each node below it; of a loop only the links among its members
+    are left out, so what hangs below it is below its member and has its own descendants."""
+    members = loop_members(nodes, resolved)
+    return _all_below(nodes.join(resolved.filter("depth <> 0").select("comp_id"), "comp_id", "left_semi").join(members, "comp_id", "left_anti"))
 
 
 def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,9 +189,9 @@ def p4_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every component with each of its descendants and their distance (those in and below loops left out)."""
+    """Every component with each of its descendants and their distance; a loop is not followed, what hangs below it is."""
     n = cut(_nodes(spark, sf_dir), "components")
-    return ancestors(n, hierarchy(n, paths=False))
+    return descendants(n, cut(hierarchy(n, paths=False), "resolved"))
 
 
 def p4_loops(spark: SparkSession, sf_dir: str) -> DataFrame:

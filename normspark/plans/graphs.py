@@ -91,9 +91,9 @@ def orphans(s, d):
 
 
 def ancestor_chains(s, d):
-    """Each component with a parent: its ancestors from the root down, as a path of ids (loops left out)."""
+    """Each component with a parent: its ancestors from the root down, as a path of ids (below a loop, from its member down; members left out)."""
     c = cut(_components(s, d).select("comp_id", F.col("parent_comp_id").alias("parent"), "citation"), "components")
-    a = hierarchy.ancestors(c, hierarchy.hierarchy(c, paths=False))
+    a = hierarchy.descendants(c, cut(hierarchy.hierarchy(c, paths=False), "resolved"))
     p = a.groupBy("descendant").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(-F.col("distance"), F.col("comp_id")))), lambda x: x["comp_id"]), " > ").alias("path"))
     return p.select(F.col("descendant").alias("comp_id"), "path")
 

@@ -117,12 +117,12 @@ def level_jumps(s, d):
 
 
 def empty_groups(s, d):
-    """Chapters, parts and sections without an article anywhere below (those in loops left out)."""
+    """Chapters, parts and sections without an article anywhere below (members of loops left out, not what is below them)."""
     c = cut(_components(s, d), "components")
     n = c.select("comp_id", F.col("parent_comp_id").alias("parent"), "citation")
     h = cut(hierarchy.hierarchy(n, paths=False), "resolved")
-    below = hierarchy.ancestors(n, h).join(c.filter("level = 'Dieu'").select(F.col("comp_id").alias("descendant")), "descendant", "left_semi")
-    g = c.filter(F.col("level").isin(*S.GROUP_LEVELS)).join(h.filter("depth >= 0").select("comp_id"), "comp_id", "left_semi")
+    below = hierarchy.descendants(n, h).join(c.filter("level = 'Dieu'").select(F.col("comp_id").alias("descendant")), "descendant", "left_semi")
+    g = c.filter(F.col("level").isin(*S.GROUP_LEVELS)).join(hierarchy.loop_members(n, h), "comp_id", "left_anti")
     return g.join(below.select("comp_id").distinct(), "comp_id", "left_anti").select("comp_id", "level")
 
 

@@ -42,6 +42,23 @@ def test_hierarchy_equals_brute_force_by_every_way(spark):
     assert len(pairs) == sum(d for d, _ in want.values() if d > 0) and pairs["deep0", "deep13"] == 13 and ("a", "b") not in pairs
 
 
+def test_descendants_below_loops(spark):
+    parent = {"r": None, "x": "r", "y": "x", "a": "b", "b": "c", "c": "a", "s": "s", "under": "a", "below": "under", "side": "under", "low": "below", "lower": "low", "own": "s", "lost": "missing"}
+    df = spark.createDataFrame([(k, v, "C") for k, v in parent.items()], "comp_id string, parent string, citation string")
+    h = H.hierarchy(df)
+    assert {r["comp_id"] for r in H.loop_members(df, h).collect()} == {"a", "b", "c", "s"}
+    want = set()
+    for x in parent:
+        cur, d = x, 0
+        while cur not in "abcs" and parent[cur] in parent:
+            cur, d = parent[cur], d + 1
+            want.add((cur, x, d))
+    got = [tuple(r) for r in H.descendants(df, h).select("comp_id", "descendant", "distance").collect()]
+    assert len(got) == len(want) and set(got) == want and ("under", "lower", 3) in want and ("a", "below", 2) in want
+    tree = df.filter("comp_id in ('r', 'x', 'y')")
+    assert H.descendants(tree, H.hierarchy(tree)).count() == 3 and H.descendants(tree.filter("false"), H.hierarchy(tree.filter("false"))).count() == 0
+
+
 def test_hierarchy_of_nothing(spark):
     df = spark.createDataFrame([], "comp_id string, parent string, citation string")
     assert H.hierarchy(df).count() == 0 and H.ancestors(df, H.hierarchy(df)).count() == 0
