@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import count, groupby, starmap, takewhile, zip_longest
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -108,52 +109,51 @@ def rows(table: Node) -> list[Node]:
 
 
 def _span(cell: Node, name: str) -> int:
-    try:
-        return max(1, int(cell.attrs.get(name) or 1))
-    except ValueError:
-        return 0
+    got = cell.attrs.get(name) or "1"
+    return max(1, int(got)) if re.fullmatch(r"\s*[+-]?\d+\s*", got) else 0
+
+
+def laid_out(table: Node) -> Iterator[tuple[list[str], bool]]:
+    """Each row of the table as texts by column, and whether one of its cells is over several columns.
+
+    One sweep down the rows: ``hanging`` holds, by column, what cells above still reach into the rows to come.
+    """
+    hanging: dict[int, tuple[str, int]] = {}
+    for tr in rows(table):
+        now = {c: t for c, (t, _) in hanging.items()}
+        hanging = {c: (t, n - 1) for c, (t, n) in hanging.items() if n > 1}
+        free = (c for c in count() if c not in now)
+        spread = False
+        for cell in (k for k in tr.kids if isinstance(k, Node) and k.tag in ("td", "th")):
+            over, down = _span(cell, "colspan"), _span(cell, "rowspan")
+            if 0 in (over, down):  # not a number: neither counts
+                over = down = 1
+            text, first = cell.text(), next(free)
+            reach = dict.fromkeys(range(first, first + over), text)
+            now |= reach
+            spread |= over > 1
+            if down > 1:
+                hanging |= dict.fromkeys(reach, (text, down - 1))
+        yield [now.get(c, "") for c in range(max(now, default=-1) + 1)], spread
 
 
 def grid(table: Node) -> list[list[str]]:
     """The table's texts by row and column, merged cells repeated, header rows folded into one row of names.
 
     Rows with a cell over several columns at the top are header parents, the row after them their leaves. Without such rows
-    the first row is the header; a single row, or one where every row has wide cells, stays as it is.
+    the first row is the header; a single row, or a table where every row has wide cells, stays as it is.
     """
-    trs = rows(table)
-    at: dict[tuple[int, int], str] = {}
-    wide: list[bool] = []
-    for r, tr in enumerate(trs):
-        c, most = 0, 1
-        for cell in (k for k in tr.kids if isinstance(k, Node) and k.tag in ("td", "th")):
-            while (r, c) in at:
-                c += 1
-            cs, rs = _span(cell, "colspan"), _span(cell, "rowspan")
-            if not cs or not rs:
-                cs = rs = 1
-            most = max(most, cs)
-            t = cell.text()
-            for i in range(r, min(r + rs, len(trs))):
-                for j in range(c, c + cs):
-                    at[i, j] = t
-            c += cs
-        wide.append(most > 1)
-    if not at:
-        return []
-    height, width = max(r for r, _ in at) + 1, max(c for _, c in at) + 1
-    flat = [[at.get((r, c), "") for c in range(width)] for r in range(height)]
-    top = next((i for i, w in enumerate(wide) if not w), len(wide))
-    depth = top + 1 if top else 1
-    if height < 2 or depth >= height and top:
+    lines = list(laid_out(table))
+    wide = list(takewhile(lambda x: x[1], lines))
+    while lines and not lines[-1][0]:
+        lines.pop()
+    width = max((len(t) for t, _ in lines), default=0)
+    flat = [t + [""] * (width - len(t)) for t, _ in lines]
+    head, body = flat[: len(wide) + 1], flat[len(wide) + 1 :]
+    if len(flat) < 2 or (wide and not body):
         return flat
-    names = []
-    for c in range(width):
-        parts: list[str] = []
-        for r in range(depth):
-            if (t := flat[r][c].strip()) and (not parts or parts[-1] != t):
-                parts.append(t)
-        names.append(" > ".join(parts))
-    return [names, *flat[depth:]]
+    # a name is what stands in its column from the top down, neighbours that say the same once
+    return [[" > ".join(t for t, _ in groupby(filter(None, map(str.strip, column)))) for column in zip(*head)], *body]
 
 
 def shown(cell: str) -> str:
@@ -161,50 +161,35 @@ def shown(cell: str) -> str:
     return _BR.sub(" ", _LINK.sub(r"\1", cell)).strip()
 
 
+def _told(name: str, value: str) -> str:
+    """A value under its name; a name with words but without a value keeps its place."""
+    if _WORD.search(value):
+        return f"{name}: {value}" if name else value
+    return f"{name}: " if _WORD.search(name) else ""
+
+
 def prose(head: list[str], body: list[list[str]]) -> list[str]:
-    """Lines of a table: its header, then each row with words in it. Named columns without a value keep their name."""
-    if not any(_WORD.search(shown(x).strip(" -")) for row in [head, *body] for x in row):
-        return []
+    """Lines of a table: its header, then each row with words in it. A table without any word has none."""
     names = [shown(h) for h in head]
-    worded = [n for n in names if _WORD.search(n)]
-    out = [f"Bảng [{' | '.join(worded)}]:"] if worded else []
-    for row in body:
-        cells = [shown(x) for x in row]
-        if not any(_WORD.search(x) for x in cells):
-            continue
-        parts = []
-        for i in range(max(len(names), len(cells))):
-            n, v = names[i] if i < len(names) else "", cells[i] if i < len(cells) else ""
-            if _WORD.search(v):
-                parts.append(f"{n}: {v}" if n else v)
-            elif _WORD.search(n):
-                parts.append(f"{n}: ")
-        out.append(", ".join(parts))
-    return out
+    title = " | ".join(filter(_WORD.search, names))
+    said = [row for row in ([shown(x) for x in cells] for cells in body) if any(map(_WORD.search, row))]
+    lines = [", ".join(filter(None, starmap(_told, zip_longest(names, row, fillvalue="")))) for row in said]
+    return [f"Bảng [{title}]:", *lines] if title else lines
 
 
 def pipe_prose(block: list[str]) -> list[str]:
-    """Lines of a markdown table, given as lines that begin with a pipe."""
-    cut = [[x.strip() for x in line.split("|")[1:-1]] for line in block]
-    if not cut or any(_FORM.search(x) for row in cut for x in row):
+    """Lines of a markdown table, given as lines that begin with a pipe; none for the image table of a form."""
+    if _FORM.search("\n".join(block)):
         return []
-    body = cut[2:] if len(cut) > 1 and not any(x.strip(" -:") for x in cut[1]) else cut[1:]
-    return prose(cut[0], body)
+    head, *body = ([x.strip() for x in line.split("|")[1:-1]] for line in block)
+    ruled = bool(body) and not "".join(body[0]).strip(" -:")
+    return prose(head, body[ruled:])
 
 
 def tables_to_prose(md: str) -> str:
     """Markdown with every run of table lines turned into prose."""
-    out: list[str] = []
-    block: list[str] = []
-    for line in [*md.split("\n"), ""]:
-        if line.startswith("|"):
-            block.append(line)
-            continue
-        if block:
-            out += pipe_prose(block)
-            block = []
-        out.append(line)
-    return "\n".join(out[:-1])
+    runs = groupby(md.split("\n"), key=lambda line: line.startswith("|"))
+    return "\n".join(x for is_table, lines in runs for x in (pipe_prose(list(lines)) if is_table else lines))
 
 
 def post_clean(md: str) -> str:
