@@ -32,5 +32,6 @@ k AS (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY s DESC, b) AS rank
 """
 ORACLES: dict[str, str] = {
     "p7_found": _NEAREST + "SELECT DISTINCT least(a, b) AS unit_a, greatest(a, b) AS unit_b FROM k WHERE rank <= 5",
+    "p7_neighbours": _NEAREST + "SELECT a AS unit_id, CAST(rank AS INTEGER) AS rank, b AS other FROM k WHERE rank <= 5",
     "p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }

@@ -128,18 +128,19 @@ def test_nearest_equal_brute_force_with_ties(spark):
     x = rng.standard_normal((300, 64)).astype("float32").astype(float)
     x[50:60] = x[0]  # more copies than the list is long
     x[70] = 2 * x[71]
+    x[80:86] = 4 * x[0]  # as similar to the copies as they are to each other
     ids = [f"u{i:03d}" for i in rng.permutation(300)]
     bad = [("null", None), ("short", [1.0] * 32), ("zero", [0.0] * 64), ("nan", [float("nan")] + [1.0] * 63), ("inf", [float("inf")] + [1.0] * 63), ("hole", [None] + [1.0] * 63)]
     df = spark.createDataFrame([(a, [float(y) for y in v]) for a, v in zip(ids, x)] + bad, "unit_id string, embedding array<float>").withColumn("vkey", F.lit(0)).withColumn("vec", F.lit("x"))
     want = knn(ids, x, 5)
-    for stripe in (16384, 64):  # one stripe, several
-        got = {r["unit_id"]: list(r["others"]) for r in V.nearest(V.usable(df), 5, stripe).collect()}
+    for block in (V.BLOCK, 64):  # one block, several
+        got = {r["unit_id"]: list(r["others"]) for r in V.nearest(df, 5, block).collect()}
         assert got == want
 
 
 def test_few_and_no_vectors(spark):
     df = spark.createDataFrame([("a", [1.0] * 64), ("b", [1.0] * 63 + [0.5])], "unit_id string, embedding array<float>")
-    assert {r["unit_id"]: list(r["others"]) for r in V.nearest(V.usable(df)).collect()} == {"a": ["b"], "b": ["a"]}
+    assert {r["unit_id"]: list(r["others"]) for r in V.nearest(df).collect()} == {"a": ["b"], "b": ["a"]}
     assert V.nearest(df.filter("false")).count() == 0
 
 
