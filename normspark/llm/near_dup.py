@@ -3,7 +3,7 @@
 Each record becomes the set of its runs of ``SHINGLE`` words. Records with equal sets form a class and only one
 representative goes on. A representative gets ``TREES`` labels, each a sequence of min-hashes. Rows of one tree are
 sorted by label; a *region* is a run of rows with a common prefix of two levels. All rows of a region are compared with
-each other by two-bit min-hash sketches, however many they are: small regions along the order, dense ones in tiles, and the
+each other by four-bit min-hash sketches, however many they are: small regions along the order, dense ones in tiles, and the
 densest in pairs of salted blocks that are spread over the tasks. Surviving pairs are verified on the exact sets.
 """
 
@@ -21,16 +21,18 @@ from normspark.llm.text import WORD, body, both, visible
 from normspark.operators.references import Bloom
 from normspark.session import cut
 
-TREES, DEPTH, REGION = 24, 6, 16
-SKETCH = 64
+TREES, REGION = 24, 16
+#: Min-hashes of a sketch, four bits of each: four words of 64 bits.
+SKETCH, WORDS = 64, ("s0", "s1", "s2", "s3")
 #: Candidates that a task gathers before it hands them on.
 HELD = 1_000_000
 #: Rows of a region that are compared at once: 512 x 512 sketches stay in the processor's cache.
 TILE = 512
 #: A region of more rows goes in blocks of about so many; how many it has is judged from one row in SAMPLE.
 BLOCK, SAMPLE = 16_384, 16
-#: Two-bit agreement of 64 that a pair must reach to be verified; at a similarity of 0.55 the mean is 42.4, deviation 3.8.
-AGREE = 30
+#: Agreement of 64 that a pair must reach to be verified. At a similarity of 0.55 the mean is 37.0, the deviation 4.0, so
+#: that one such pair in 2000 falls short; at 0.1, where most pairs of a prefix are, 10.0 and 2.9.
+AGREE = 24
 _rng = np.random.default_rng(20240607)
 PERMS = TREES * 3
 _A = _rng.integers(1, 2**63, PERMS, dtype=np.uint64) | np.uint64(1)
@@ -123,73 +125,50 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             p = pdf.iloc[lo : lo + 4000]
             m = minhashes([_mix(np.frombuffer(g, np.uint32).astype(np.uint64)) for g in p.grams]).astype(np.uint64)
             src = np.fromiter((xxhash.xxh64_intdigest(s) for s in p.source_table), np.uint64, len(p))
-            bits = m[:, :SKETCH] & np.uint64(3)
-            half = SKETCH // 2
-            sk = [np.bitwise_or.reduce(bits[:, h : h + half] << (np.arange(half, dtype=np.uint64) * np.uint64(2)), axis=1) for h in (0, half)]
+            bits = m[:, :SKETCH] & np.uint64(15)
+            part = SKETCH // len(WORDS)
+            sk = {w: np.bitwise_or.reduce(bits[:, h * part : (h + 1) * part] << (np.arange(part, dtype=np.uint64) * np.uint64(4)), axis=1).view(np.int64) for h, w in enumerate(WORDS)}
             parts = []
             for t in range(TREES):
                 prefix = _mix(_mix(_mix(src + np.uint64(t)) + m[:, t * 3]) + m[:, t * 3 + 1])
-                parts.append(pd.DataFrame({"prefix": prefix.view(np.int64), "id": p.id.to_numpy(), "s0": sk[0].view(np.int64), "s1": sk[1].view(np.int64)}))
+                parts.append(pd.DataFrame({"prefix": prefix.view(np.int64), "id": p.id.to_numpy(), **sk}))
             yield pd.concat(parts)
 
 
-def _agreement(s0: np.ndarray, s1: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    one = np.uint64(0x5555555555555555)
+def _agreement(sketch: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """How many of the min-hashes of rows ``i`` and ``j`` agree in their four bits; ``sketch`` holds a word in each row."""
+    one, two = np.uint64(1), np.uint64(2)
     n = np.uint8(0)
-    for s in (s0, s1):
+    for s in sketch:
         x = s[i] ^ s[j]
-        n = n + np.bitwise_count((x | (x >> np.uint64(1))) & one)
+        x |= x >> two
+        x |= x >> one
+        n = n + np.bitwise_count(x & np.uint64(0x1111111111111111))
     return SKETCH - n
 
 
-def _runs(same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Group number of each row, and the size of its group, where ``same`` tells that a row continues the last one's."""
-    g = np.cumsum(~same)
-    g -= g[0]
-    return g, np.bincount(g)[g]
-
-
-def neighbours(prefix: np.ndarray, deeper: np.ndarray, ids: np.ndarray, s0: np.ndarray, s1: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Candidate pairs among rows in the trees' order (sorted by prefix, deeper)."""
-    n = len(ids)
-    if n < 2:
-        return
-    same = np.zeros(n, bool)
-    same[1:] = prefix[1:] == prefix[:-1]
-    region, size = _runs(same)
-    base = region.copy()
-    dense = size > REGION
-    deep = dense.copy()
-    for d in range(3, DEPTH + 1):
-        if not deep.any():
-            break
-        cutoff = np.uint64(16 * (DEPTH - d))
-        same_d = same.copy()
-        same_d[1:] &= (deeper[1:] >> cutoff) == (deeper[:-1] >> cutoff)
-        g, size_d = _runs(same_d)
-        region = np.where(deep, (g + n * np.int64(d)), region)
-        deep &= size_d > REGION
-    live, k = np.arange(n - 1), 0
+def neighbours(prefix: np.ndarray, ids: np.ndarray, sketch: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidate pairs among rows in the trees' order, each with all that follow it under the same prefix."""
+    live, k = np.arange(len(ids) - 1), 0
     while len(live):
         k += 1
-        live = live[live + k < n]
-        near = (region[live] == region[live + k]) | ((k <= REGION) & dense[live] & (base[live] == base[live + k]))
+        live = live[live + k < len(ids)]
         # rows of a region are adjacent, so a row without a partner at this distance has none farther away
-        live = live[near]
+        live = live[prefix[live] == prefix[live + k]]
         if len(live):
-            ok = live[_agreement(s0, s1, live, live + k) >= AGREE]
+            ok = live[_agreement(sketch, live, live + k) >= AGREE]
             if len(ok):
                 yield ids[ok], ids[ok + k]
 
 
-def _all_pairs(ids: np.ndarray, s0: np.ndarray, s1: np.ndarray, split: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _all_pairs(ids: np.ndarray, sketch: np.ndarray, split: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Candidate pairs among all rows of a region, or, with ``split``, of the rows before it with those from it on."""
     n = len(ids)
     for lo in range(0, split or n, TILE):
         i = np.arange(lo, min(lo + TILE, split or n))[:, None]
         for at in range(split or lo, n, TILE):
             j = np.arange(at, min(at + TILE, n))[None, :]
-            x, y = np.nonzero(_agreement(s0, s1, i, j) >= AGREE)
+            x, y = np.nonzero(_agreement(sketch, i, j) >= AGREE)
             if at == lo:
                 x, y = x[x < y], y[x < y]
             if len(x):
@@ -201,25 +180,25 @@ def _regions(batches: Iterator[pd.DataFrame], most: int = HELD) -> Iterator[pd.D
 
     side is 0 where a row meets all rows of its prefix, and 1 or 2 where it meets the rows of the other side.
     """
-    left: pd.DataFrame | None = None
+    left: list[pd.DataFrame] = []
     got: list[tuple[np.ndarray, np.ndarray]] = []
 
     def pairs(p: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         prefix, ids = p.prefix.to_numpy(), p.id.to_numpy()
-        s0, s1 = p.s0.to_numpy().view(np.uint64), p.s1.to_numpy().view(np.uint64)
+        sketch = np.array([p[w].to_numpy() for w in WORDS]).view(np.uint64)
         side = p.side.to_numpy() if "side" in p else np.zeros(len(p), np.int64)
         ends = np.r_[np.flatnonzero(prefix[1:] != prefix[:-1]) + 1, len(p)]
         size = np.diff(ends, prepend=0)
         few = np.repeat(size <= REGION, size)
-        yield from neighbours(prefix[few], np.zeros(int(few.sum()), np.uint64), ids[few], s0[few], s1[few])
+        yield from neighbours(prefix[few], ids[few], sketch[:, few])
         for hi, n in zip(ends[size > REGION], size[size > REGION]):
             r = slice(hi - n, hi)
             firsts = int((side[r] == 1).sum())
             if side[r].all():
                 if 0 < firsts < n:
-                    yield from _all_pairs(ids[r], s0[r], s1[r], firsts)
+                    yield from _all_pairs(ids[r], sketch[:, r], firsts)
             else:
-                yield from _all_pairs(ids[r], s0[r], s1[r])
+                yield from _all_pairs(ids[r], sketch[:, r])
 
     def frame() -> pd.DataFrame:
         x, y = (np.concatenate(c) for c in zip(*got))
@@ -238,15 +217,18 @@ def _regions(batches: Iterator[pd.DataFrame], most: int = HELD) -> Iterator[pd.D
             yield frame()
 
     for pdf in batches:
-        p = pdf if left is None else pd.concat([left, pdf], ignore_index=True)
-        if not len(p):
+        if not len(pdf):
+            continue
+        if left and pdf.prefix.iloc[-1] == left[-1].prefix.iloc[-1]:  # all of one region that goes on
+            left.append(pdf)
             continue
+        p = pd.concat([*left, pdf], ignore_index=True)
         n = int((p.prefix.to_numpy() != p.prefix.iloc[-1]).sum())
         if n:
             yield from out(p.iloc[:n])
-        left = p.iloc[n:].reset_index(drop=True)
-    if left is not None and len(left):
-        yield from out(left)
+        left = [p.iloc[n:]]
+    if left:
+        yield from out(pd.concat(left, ignore_index=True))
 
 
 def in_blocks(rows: DataFrame, dense: DataFrame) -> DataFrame:
@@ -260,7 +242,7 @@ def in_blocks(rows: DataFrame, dense: DataFrame) -> DataFrame:
     r = r.withColumn("other", F.explode(F.when(one, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
     prefix = F.when(one, F.col("prefix")).otherwise(F.xxhash64("prefix", F.least("own", "other"), F.greatest("own", "other")))
     side = F.when(one | (F.col("own") == F.col("other")), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
-    return r.select(prefix.alias("prefix"), "id", "s0", "s1", side.cast("long").alias("side"))
+    return r.select(prefix.alias("prefix"), "id", *WORDS, side.cast("long").alias("side"))
 
 
 def _exact(least: float):
@@ -289,7 +271,7 @@ def near_classes(records: DataFrame, run: int = 5, least: float = 0.8, least_wor
     first = member.groupBy("id").agg(F.min("key").alias("first"), F.count("*").alias("n")).filter("n > 1")
     others = cut(member.join(first, "id").filter("key > first").select("source_table", "key"), "copies")
     reps = s.join(others, ["source_table", "key"], "left_anti")
-    trees = lambda r: r.select("source_table", "id", "grams").mapInPandas(_forest, "prefix long, id long, s0 long, s1 long")
+    trees = lambda r: r.select("source_table", "id", "grams").mapInPandas(_forest, "prefix long, id long, s0 long, s1 long, s2 long, s3 long")
     dense = trees(reps.filter(F.pmod("id", F.lit(SAMPLE)) == 0)).groupBy("prefix").agg(F.count("*").alias("n")).filter(F.col("n") > block / SAMPLE)
     dense = cut(dense.select("prefix", F.ceil(F.col("n") * SAMPLE / block).alias("blocks")), "dense")
     rows, by = trees(reps), ["prefix"]

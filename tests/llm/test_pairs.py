@@ -64,15 +64,20 @@ def test_no_records(spark):
     assert m.count() == 0 and p.count() == 0
 
 
-def test_dense_regions_keep_their_neighbours():
-    """A region of thousands of near-equal rows: every row still meets many others, and none is compared with all."""
-    rng = np.random.default_rng(0)
-    n = 3000
-    prefix, deeper = np.zeros(n, np.int64), np.sort(rng.integers(0, 2**63, n).astype(np.uint64))
-    got = list(N.neighbours(prefix, deeper, np.arange(n), np.zeros(n, np.uint64), np.zeros(n, np.uint64)))
-    pairs = sum(len(a) for a, _ in got)
-    met = set(np.concatenate([np.concatenate(x) for x in got]))
-    assert len(met) == n and n * 8 < pairs < n * 200
+def test_rows_of_a_prefix_meet_and_others_do_not():
+    prefix = np.repeat(np.arange(40), np.arange(40))
+    got = list(N.neighbours(prefix, np.arange(len(prefix)), np.zeros((4, len(prefix)), np.uint64)))
+    a, b = (np.concatenate(x) for x in zip(*got))
+    assert len(a) == len(set(zip(a, b))) == sum(n * (n - 1) // 2 for n in range(40)) and (prefix[a] == prefix[b]).all()
+
+
+def test_agreement_counts_equal_hashes():
+    rng = np.random.default_rng(2)
+    h = rng.integers(0, 16, (2, 64)).astype(np.uint64)
+    shift = np.arange(16, dtype=np.uint64) * np.uint64(4)
+    sketch = np.array([[np.bitwise_or.reduce(row[w * 16 : w * 16 + 16] << shift) for row in h] for w in range(4)])
+    assert N._agreement(sketch, np.array([0]), np.array([1]))[0] == (h[0] == h[1]).sum()
+    assert N._agreement(sketch, np.array([0]), np.array([0]))[0] == 64
 
 
 def test_a_hot_prefix_is_taken_in_parts():
@@ -81,7 +86,7 @@ def test_a_hot_prefix_is_taken_in_parts():
     rng = np.random.default_rng(1)
     n = 4000
     d = np.sort(rng.integers(-(2**62), 2**62, n))
-    p = pd.DataFrame({"prefix": np.r_[np.zeros(n - 5, np.int64), np.ones(5, np.int64)], "deeper": d, "id": np.arange(n), "s0": 0, "s1": 0})
+    p = pd.DataFrame({"prefix": np.r_[np.zeros(n - 5, np.int64), np.ones(5, np.int64)], "deeper": d, "id": np.arange(n), "s0": 0, "s1": 0, "s2": 0, "s3": 0})
     run = lambda most: set(map(tuple, pd.concat(N._regions((p.iloc[i : i + 500] for i in range(0, n, 500)), most)).to_numpy()))
     assert run(1000) == run(10**9)
 
@@ -106,7 +111,7 @@ def test_blocks_meet_all_rows_of_a_region_once():
     import pandas as pd
 
     n = 1500
-    p = pd.DataFrame({"prefix": np.zeros(n, np.int64), "id": np.arange(n), "s0": 0, "s1": 0})
+    p = pd.DataFrame({"prefix": np.zeros(n, np.int64), "id": np.arange(n), "s0": 0, "s1": 0, "s2": 0, "s3": 0})
     both_sides = p.assign(side=np.where(p.id < 700, 1, 2))
     all_ = pd.concat(N._regions(iter([p.iloc[:600], p.iloc[600:]])))
     across = pd.concat(N._regions(iter([both_sides])))
