@@ -26,6 +26,9 @@ def test_ids_equal_the_tokenizer_and_decode_to_the_text(spark):
     back = {r["doc_id"]: r["text"] for r in T.decode(e).collect()}
     assert back == {i: t or "" for i, t in enumerate(TEXTS)}
     assert {r["doc_id"]: r["tokens"] for r in T.sizes(docs(spark)).collect()} == {i: len(v) for i, v in got.items()}
+    for hot in (0, 7):  # words that come back from the table
+        assert {r["doc_id"]: list(r["ids"]) for r in T.encode(docs(spark), hot=hot).collect()} == got
+        assert {r["doc_id"]: r["tokens"] for r in T.sizes(docs(spark), hot=hot).collect()} == {i: len(v) for i, v in got.items()}
 
 
 def test_no_documents(spark):
