@@ -74,7 +74,16 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     _made.append((spark, path))
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    got = spark.read.schema(df.schema).parquet(path)
+    got._cut_path = path
+    return got
+
+
+def release(df: DataFrame) -> None:
+    """Remove the table behind a ``cut`` that no later plan reads any more."""
+    if path := getattr(df, "_cut_path", None):
+        drop_path(df.sparkSession, path)
+        _made.remove((df.sparkSession, path))
 
 
 def spread(df: DataFrame) -> DataFrame:
