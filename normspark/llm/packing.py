@@ -1,77 +1,150 @@
 """Filling fixed-capacity containers: best fit in bulk-synchronous supersteps.
 
-Documents and gaps are kept range-sorted as *runs*: all pieces of one size, all containers with one gap. A superstep takes
-the next run of pieces (largest first), sweeps to the successor of its size among the gap runs and gives the k-th piece
-the k-th container of that run: the rank resolves conflicts. What a gap run cannot hold goes on to the next successor;
-what no gap holds opens containers. Gaps are updated and the next superstep follows.
-
-As sizes are integers up to the capacity, the runs are the histogram of sizes, whatever the number of documents: the
-supersteps run on counts (at most ``capacity`` runs of either kind, each with its ranges of ranks), and one pass over the
-documents turns size and rank into a container.
+Pieces and gaps are kept as sorted *runs*: all pieces of one size, or a range of containers with one gap. A superstep
+range-sorts the runs of both kinds from large to small and sweeps over them: each piece gets the smallest gap that holds it
+(its successor in the order) among those that larger pieces left over. Conflicts go by rank: the k-th piece of a run gets the
+k-th container of the gap run it met. Then the gaps are what is left of them, and the next superstep follows, with the pieces
+that found no gap and, when these are all placed, the next smaller ones, down to half their size. Where no gap is large
+enough, containers are opened.
+
+Runs are few whatever the number of documents, as sizes are integers up to the capacity; supersteps grow with the logarithm
+of the capacity and with the pieces of a container. The documents are only read to count their sizes, and once more to turn
+size and rank into a container.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
-from collections import defaultdict
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from normspark.llm.tokens import sizes
-from normspark.session import cut, table
+from normspark.session import cut, release, table
 
 CAPACITY = 2048
 #: Parts into which the documents of one size are ranked apart, so that no size has to fit into one task.
 SALTS = 64
+#: Runs that one task sweeps over; more are swept by ranges, and what is left of these by wider ones.
+RUNS = 1 << 16
+#: Placements that are broadcast to the documents; more are joined as the planner sees fit.
+PLACES = 1 << 20
+
+GAP, PIECE, PLACED = 0, 1, 2
+#: A run of gaps has the first of its containers as first, one of pieces the rank of the first in its size. Of a placed one,
+#: ``per`` pieces go into each container from ``container`` on.
+_STATE = "kind int, size long, first long, number long, container long, per long"
+
+
+def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The runs of a range, from large to small, gaps first among equals: a piece takes from the gaps met last."""
+    gaps: list[list[int]] = []
+    out: list[tuple] = []
+    for p in batches:
+        for kind, size, first, number in zip(p.kind, p["size"], p["first"], p["number"]):
+            if kind == GAP:
+                gaps.append([size, first, number])
+                continue
+            while number and gaps:
+                gap = gaps[-1]
+                n = min(number, gap[2])
+                out.append((PLACED, size, first, n, gap[1], 1))
+                if gap[0] > size:
+                    out.append((GAP, gap[0] - size, gap[1], n, 0, 0))
+                gap[1], gap[2] = gap[1] + n, gap[2] - n
+                if not gap[2]:
+                    gaps.pop()
+                first, number = first + n, number - n
+            if number:
+                out.append((PIECE, size, first, number, 0, 0))
+    out += [(GAP, *g, 0, 0) for g in gaps]
+    yield pd.DataFrame(out, columns=["kind", "size", "first", "number", "container", "per"])
+
+
+def opened(made: int, capacity: int):
+    """Containers for runs of pieces that no gap holds, numbered from ``made`` on and filled from large to small."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out: list[tuple] = []
+        new, left = made, 0  # the next number, and the room in the container before it
+        for p in batches:
+            for size, first, number in zip(p["size"], p["first"], p["number"]):
+                if n := min(number, left // size):
+                    out.append((PLACED, size, first, n, new - 1, n))
+                    first, number, left = first + n, number - n, left - n * size
+                if not number:
+                    continue
+                if left:
+                    out.append((GAP, left, new - 1, 1, 0, 0))
+                per = capacity // size
+                full, rest = divmod(number, per)
+                out.append((PLACED, size, first, number, new, per))
+                if full and capacity > per * size:
+                    out.append((GAP, capacity - per * size, new, full, 0, 0))
+                new, left = new + full + (rest > 0), capacity - rest * size if rest else 0
+        if left:
+            out.append((GAP, left, new - 1, 1, 0, 0))
+        yield pd.DataFrame(out, columns=["kind", "size", "first", "number", "container", "per"])
+
+    return run
+
+
+def _swept(active: DataFrame, runs: int) -> DataFrame:
+    """The runs after one sweep: by ranges of RUNS runs, then what these left over by ranges eight times as wide, and on."""
+    ranges = -(-runs // RUNS)
+    done = []
+    while ranges > 1:
+        s = cut(active.repartitionByRange(ranges, F.desc("size")).sortWithinPartitions(F.desc("size"), "kind", "first").mapInPandas(sweep, _STATE), "swept")
+        # gaps made in this sweep are for the next superstep, but meeting a piece now does no harm
+        done.append(s.filter(F.col("kind") == PLACED))
+        active, ranges = s.filter(F.col("kind") < PLACED), ranges // 8
+    last = active.coalesce(1).sortWithinPartitions(F.desc("size"), "kind", "first").mapInPandas(sweep, _STATE)
+    for d in done:
+        last = last.unionByName(d)
+    return last
 
 
-def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int]]:
-    """Best fit of ``counts`` (pieces by size) as ``(size, first rank, first container, pieces per container)``.
+def placed(counts: DataFrame, capacity: int) -> DataFrame:
+    """``size, first, number, container, per``: where the pieces of each size go, of ``size, number`` (sizes up to capacity).
 
-    Each row holds from its first rank to the next row of the size; ranks of a size start at 0.
+    Each row holds for the ranks from first on; ranks of a size start at 0. No row of it passes through the driver, which
+    only learns how many runs and pieces are left.
     """
-    rows: list[tuple[int, int, int, int]] = []
-    gaps: dict[int, list[list[int]]] = defaultdict(list)  # gap -> ranges of containers [first, number]
-    order: list[int] = []  # the gaps there are, sorted
-    made = 0
-
-    def put(gap: int, first: int, number: int) -> None:
-        if gap > 0 and number > 0:
-            if not gaps[gap]:
-                insort(order, gap)
-            gaps[gap].append([first, number])
-
-    for size in sorted((s for s in counts if counts[s] > 0), reverse=True):
-        left, rank = counts[size], 0
-        while left:
-            at = bisect_left(order, size)
-            if at == len(order):
-                break
-            gap = order[at]
-            run = gaps[gap][-1]
-            n = min(left, run[1])
-            rows.append((size, rank, run[0], 1))
-            first = run[0]
-            run[0], run[1] = run[0] + n, run[1] - n
-            if not run[1]:
-                gaps[gap].pop()
-                if not gaps[gap]:
-                    order.pop(at)
-            put(gap - size, first, n)
-            left, rank = left - n, rank + n
-        if left:
-            per = capacity // size
-            full, rest = divmod(left, per)
-            rows.append((size, rank, made, per))
-            put(capacity - per * size, made, full)
-            if rest:
-                put(capacity - rest * size, made + full, 1)
-            made += full + bool(rest)
-    return rows
+    zero = F.lit(0).cast("long")
+    state = counts.select(F.lit(PIECE).alias("kind"), F.col("size").cast("long").alias("size"), zero.alias("first"), F.col("number").cast("long").alias("number"), zero.alias("container"), zero.alias("per"))
+    kind, size, number = F.col("kind"), F.col("size"), F.col("number")
+    low = capacity
+
+    def step(nxt: DataFrame, least: int) -> tuple[DataFrame, dict]:
+        seen = Observation()
+        sees = (
+            F.max(F.when(kind == PIECE, size)).alias("largest"), F.count(F.when(kind == PIECE, 1)).alias("pieces"), F.count(F.when(kind < PLACED, 1)).alias("runs"),
+            F.sum(F.when((kind == PIECE) & (size > least), number)).alias("left"), F.min(F.when((kind == PIECE) & (size > least), size)).alias("smallest"), F.max(F.when(kind == GAP, size)).alias("gap"),
+            F.max(F.when(kind == PLACED, F.col("container") + F.ceil(number / F.col("per")))).alias("made"),
+        )
+        got = cut(nxt.observe(seen, *sees), "runs")
+        return got, seen.get
+
+    state, now = step(state.coalesce(1), capacity)
+    while now["pieces"]:
+        if not now["left"]:  # the next sizes
+            while low >= now["largest"]:
+                low //= 2
+            fits = bool(now["gap"])
+        else:
+            fits = (now["gap"] or 0) >= now["smallest"]
+        part = (kind < PLACED) & (size > low)
+        still = state.filter(~part)
+        if fits:
+            nxt = still.unionByName(_swept(state.filter(part), now["runs"]))
+        else:
+            nxt = still.unionByName(state.filter(part & (kind == GAP))).unionByName(
+                state.filter(part & (kind == PIECE)).coalesce(1).sortWithinPartitions(F.desc("size"), "first").mapInPandas(opened(now["made"] or 0, capacity), _STATE)
+            )
+        before, (state, now) = state, step(nxt.coalesce(1 + now["runs"] // RUNS), low)
+        release(before)
+    return state.filter(kind == PLACED).drop("kind")
 
 
 def pack(sized: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -88,29 +161,16 @@ def pack(sized: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         .select("doc_id", "piece", F.least(cap, F.col("tokens") - F.col("piece") * cap).alias("size"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
     )
     items = cut(items, "items")
-    counted = items.groupBy("size", "salt").count().collect()  # capacity x SALTS rows at most
-    total: dict[int, int] = defaultdict(int)
-    starts = []
-    for r in sorted(counted, key=lambda r: (r["size"], r["salt"])):
-        starts.append((r["size"], r["salt"], total[r["size"]]))
-        total[r["size"]] += r["count"]
-    rows = sorted(plan(dict(total), capacity))
-    code = np.array([(s << 40) + k for s, k, _, _ in rows], np.int64)  # ranks of one size stay below 2**40
-    lo, first, per = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
-    offset = spark_frame(items.sparkSession, starts)
-    w = Window.partitionBy("size", "salt").orderBy("doc_id", "piece")
-    ranked = items.withColumn("n", F.row_number().over(w) - 1).join(F.broadcast(offset), ["size", "salt"]).withColumn("rank", F.col("start") + F.col("n"))
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in batches:
-            at = np.searchsorted(code, (p["size"].to_numpy() << 40) + p["rank"].to_numpy(), "right") - 1
-            yield pd.DataFrame({"container": first[at] + (p["rank"].to_numpy() - lo[at]) // per[at], "doc_id": p.doc_id, "piece": p.piece, "size": p["size"]})
-
-    return ranked.select("doc_id", "piece", "size", "rank").mapInPandas(place, "container long, doc_id long, piece long, size long")
-
-
-def spark_frame(spark: SparkSession, rows: list) -> DataFrame:
-    return spark.createDataFrame(rows, "size long, salt long, start long")
+    counted = cut(items.groupBy("size", "salt").agg(F.count("*").alias("n")), "sizes")  # capacity x SALTS rows at most
+    places = placed(counted.groupBy("size").agg(F.sum("n").alias("number")), capacity)
+    w = Window.partitionBy("size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    start = counted.select("size", "salt", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("start"))
+    order = Window.partitionBy("size", "salt").orderBy("doc_id", "piece")
+    ranked = items.withColumn("n", F.row_number().over(order) - 1).join(F.broadcast(start), ["size", "salt"]).select("doc_id", "piece", "size", (F.col("start") + F.col("n")).alias("rank"))
+    places = places.withColumnRenamed("size", "of")
+    places = F.broadcast(places) if places.count() <= PLACES else places
+    here = (F.col("size") == F.col("of")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("number"))
+    return ranked.join(places, here).select((F.col("container") + F.floor((F.col("rank") - F.col("first")) / F.col("per"))).alias("container"), "doc_id", "piece", "size")
 
 
 def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:

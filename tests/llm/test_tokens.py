@@ -67,7 +67,21 @@ def test_packing_is_whole_and_tight(spark, cap, draw):
     assert n <= len(bins)
 
 
-def test_plan_has_every_rank():
-    rows = P.plan({60: 5, 40: 7, 20: 9, 1: 3}, 100)
-    assert {s for s, *_ in rows} == {60, 40, 20, 1} and all(min(r for s, r, *_ in rows if s == z) == 0 for z in (60, 40, 20, 1))
-    assert P.plan({}, 10) == []
+def placed(spark, counts, cap):
+    df = spark.createDataFrame(list(counts.items()), "size long, number long")
+    return sorted((r["size"], r["first"], r["number"], r["container"], r["per"]) for r in P.placed(df, cap).collect())
+
+
+def test_every_rank_has_a_place_and_no_container_overflows(spark, monkeypatch):
+    counts = {60: 5, 40: 7, 20: 9, 7: 31, 1: 3}
+    for runs in (P.RUNS, 2):  # in one range, in several
+        monkeypatch.setattr(P, "RUNS", runs)
+        load: dict[int, int] = {}
+        seen = {s: 0 for s in counts}
+        for size, first, number, container, per in placed(spark, counts, 100):
+            assert first == seen[size]
+            seen[size] += number
+            for k in range(number):
+                load[container + k // per] = load.get(container + k // per, 0) + size
+        assert seen == counts and max(load.values()) <= 100 and sorted(load) == list(range(len(load)))
+    assert placed(spark, {}, 10) == []
