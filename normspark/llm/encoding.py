@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from normspark.llm.text import both
 from normspark.llm.vietnamese import LETTERS, is_syllable
-from normspark.session import cut
+from normspark.operators.records import latest
+from normspark.session import cut, release, table
 
 # TCVN 5712 code points of the Vietnamese letters, as text in the order of the codes.
 TCVN3 = dict(zip(
@@ -33,6 +34,10 @@ TCVN3 = dict(zip(
 VNI_MARKS = {"ø": "\u0300", "ù": "\u0301", "û": "\u0309", "õ": "\u0303", "ï": "\u0323", "â": "\u0302", "ê": "\u0306", "á": "\u0302\u0301", "à": "\u0302\u0300", "å": "\u0302\u0309", "ã": "\u0302\u0303", "ä": "\u0323\u0302", "é": "\u0306\u0301", "è": "\u0306\u0300", "ú": "\u0306\u0309", "ü": "\u0306\u0303", "ë": "\u0323\u0306"}
 VNI_LETTERS = {"ñ": "đ", "ö": "ư", "ô": "ơ", "ò": "ị", "æ": "ỉ", "ó": "ĩ", "í": "í", "ì": "ì", "î": "ỵ"}
 
+# capitals have marks of their own
+VNI_MARKS |= {c.upper(): m for c, m in VNI_MARKS.items()}
+VNI_LETTERS |= {c.upper(): d.upper() for c, d in VNI_LETTERS.items()}
+
 #: Codes that UTF-8 bytes are read by.
 READERS = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1251", "cp1258", "cp1250", "koi8-r", "cp866", "iso8859-15")
 CHAINS = ("genuine", *(f"utf-8>{e}" for e in READERS), *(f"utf-8>{e}, twice" for e in ("cp1252", "latin-1", "mac_roman")), "tcvn3>latin-1", "vni>latin-1", "letters>?", "bytes>�")
@@ -81,7 +86,7 @@ _ODD = re.compile(rf"[^\x00-\x7f{LETTERS}]")
 _LATIN1_TOKEN = re.compile(r"(?<!\w)[A-Za-z\xa1-\xff]*[\xa1-\xff][A-Za-z\xa1-\xff]*(?![\w\u200b-\u200d\u2060\ufeff\u0300-\u036f])")
 _ASKED = re.compile(r"(?<![\w?/=&])(?=[^\s/=&?]*\?)[^\W\d_?]*\?+[^\W\d_]+(?:\?*[^\W\d_]*)*(?![\w/=&])")
 _QUICK = re.compile(rf"[^\x00-\x7f{LETTERS}]|\?\w")
-_ENTITY = re.compile(r"&(?:[A-Za-z]+|#\d+|#[xX][0-9a-fA-F]+);")
+_ENTITY = re.compile(r"&(?:[A-Za-z]+\d{0,2}|#\d+|#[xX][0-9a-fA-F]+);")
 
 
 def _tcvn(word: str) -> str:
@@ -170,10 +175,12 @@ def repair(text: str, chain: str) -> str | None:
     read = _tcvn if chain.startswith("tcvn3") else _vni
 
     # such text has no letter beyond Latin-1, so a stretch of words without any, from the first to the last word that
-    # cannot stand as it is, was garbled as a whole
+    # cannot stand as it is, was garbled as a whole; a text that has none at all, from end to end
     parts = re.split(r"(\s+)", text)
     lone = [_LATIN1_TOKEN.search(w) is not None and not _own(m := _LATIN1_TOKEN.search(w).group()) and is_syllable(read(m)) for w in parts]
     beyond = [any(ord(c) > 0xFF for c in w) for w in parts]
+    if not any(beyond):
+        lone[0] = lone[-1] = True
     at = 0
     while at < len(parts):
         if not lone[at]:
@@ -190,12 +197,18 @@ def repair(text: str, chain: str) -> str | None:
 
 
 def suspicious(c: Column) -> Column:
-    """Whether a value can be garbled at all: a character outside plain Vietnamese text, a mark within a word, an entity."""
-    return c.rlike(rf"[^\x00-\x7f{LETTERS}]|\?\p{{L}}|&(?:raquo|ordm|ordf|frac\d+|sup\d|iexcl|cent|pound|curren|yen|brvbar|sect|uml|laquo|not|reg|macr|deg|plusmn|acute|micro|para|middot|cedil|thorn|eth|szlig|#1[2-9]\d|#xFFFD|#65533);")
+    """Whether a value can be garbled at all: a character outside plain Vietnamese text, a mark within a word, or an entity,
+    which may stand for any character (but for those that markup itself needs)."""
+    return c.rlike(rf"[^\x00-\x7f{LETTERS}]|\?\p{{L}}|&(?!(?:amp|lt|gt|quot|apos|nbsp);)(?:[A-Za-z]|#)")
 
 
 def _seen(text: str, is_html: bool) -> str:
-    return _ENTITY.sub(lambda m: html.unescape(m.group()), text) if is_html and "&" in text else text
+    """The text with the characters beyond ASCII that its entities stand for; entities that markup needs stay."""
+    def one(m: re.Match) -> str:
+        c = html.unescape(m.group())
+        return m.group() if c.isascii() else c
+
+    return _ENTITY.sub(one, text) if is_html and "&" in text else text
 
 
 def _measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -203,92 +216,91 @@ def _measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got = [(i, x) for i, (s, t) in enumerate(zip(p.source_table, p.text)) if t and (x := evidence(_seen(t, s == "content"))) is not None]
         if got:
             at = [i for i, _ in got]
-            yield pd.DataFrame({"source_table": p.source_table.to_numpy()[at], "key": p.key.to_numpy()[at], "pool": p.pool.to_numpy()[at], "odds": [x.tolist() for _, x in got]})
-
+            yield pd.DataFrame({"source_table": p.source_table.to_numpy()[at], "key": p.key.to_numpy()[at], "odds": [x.tolist() for _, x in got]})
 
-def _posterior(odds: np.ndarray, share: np.ndarray) -> np.ndarray:
-    z = odds + np.log(share)
-    z = np.exp(z - z.max(axis=1, keepdims=True))
-    return z / z.sum(axis=1, keepdims=True)
 
+def _start() -> list[float]:
+    return [0.5] + [0.5 / (len(CHAINS) - 1)] * (len(CHAINS) - 1)
 
-def _start() -> np.ndarray:
-    share = np.full(len(CHAINS), 0.5 / (len(CHAINS) - 1))
-    share[0] = 0.5
-    return share
 
+def _posterior(odds: Column, share: Column) -> Column:
+    z = F.zip_with(odds, share, lambda o, s: o + F.log(s))
+    e = F.transform(z, lambda x: F.exp(x - F.array_max(z)))
+    return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b))
 
-def shares(measured: DataFrame, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
-    """The chains' shares in each pool. Pools are few (tables and fields, or sources a caller names), records any number."""
-    pools: dict[str, np.ndarray] = {}
 
-    def expected(now: dict[str, np.ndarray]):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total: dict[str, np.ndarray] = {}
-            for p in batches:
-                for pool, q in p.groupby("pool"):
-                    r = _posterior(np.array(q.odds.tolist()), now.get(pool, _start())).sum(axis=0)
-                    total[pool] = total.get(pool, 0) + r
-            if total:
-                yield pd.DataFrame([(k, i, x) for k, v in total.items() for i, x in enumerate(v)], columns=["pool", "chain", "n"])
+def _judged(measured: DataFrame, shares: DataFrame | None) -> DataFrame:
+    """``measured`` with ``post``, the posterior of each chain."""
+    start = F.array(*map(F.lit, _start()))
+    m = measured.withColumn("share", start) if shares is None else measured.join(shares, "pool")
+    return m.withColumn("post", _posterior(F.col("odds"), F.col("share"))).drop("share")
 
-        return run
 
+def shares(measured: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """``pool, share``: the shares of the chains in each pool of ``pool, odds``, any number of either."""
+    now: DataFrame | None = None
     for _ in range(rounds):
-        got = measured.select("pool", "odds").mapInPandas(expected(dict(pools)), "pool string, chain int, n double").groupBy("pool", "chain").agg(F.sum("n").alias("n")).collect()
-        new: dict[str, np.ndarray] = {}
-        for r in got:
-            new.setdefault(r["pool"], np.zeros(len(CHAINS)))[r["chain"]] = r["n"]
-        pools = {k: (v + SMOOTH * _start()) / (v.sum() + SMOOTH) for k, v in new.items()}
-    return pools
+        n = _judged(measured.select("pool", "odds"), now).groupBy("pool").agg(F.count("*").alias("all"), *(F.sum(F.col("post")[i]).alias(f"n{i}") for i in range(len(CHAINS))))
+        share = F.array(*((F.col(f"n{i}") + SMOOTH * s) / (F.col("all") + SMOOTH) for i, s in enumerate(_start())))
+        before, now = now, cut(n.select("pool", share.alias("share")), "shares")
+        if before is not None:
+            release(before)
+    return now
 
 
-def garbled(records: DataFrame) -> DataFrame:
+def garbled(records: DataFrame, pools: DataFrame | None = None) -> DataFrame:
     """``source_table, key, chain, confidence`` of the garbled records among ``source_table, key, text``.
 
-    A ``pool`` column, where there is one, names the source and field whose records share their chains; else the table does.
-    Null and empty texts are genuine. Keys are taken as unique per table. Long texts are read whole. No garbled record, or
-    an empty table, gives an empty result.
+    ``pools`` (source_table, key, pool) names the source and field whose records share their chains; without it, and for
+    records it leaves out, the table does. Null and empty texts are genuine. Keys are taken as unique per table. Long texts
+    are read whole. No garbled record, or an empty table, gives an empty result.
     """
-    r = records if "pool" in records.columns else records.withColumn("pool", F.col("source_table"))
-    m = cut(r.filter(suspicious(F.col("text"))).select("source_table", "key", "text", "pool").mapInPandas(_measure, "source_table string, key string, pool string, odds array<double>"), "evidence")
-    now = shares(m)
-
-    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in batches:
-            if not len(p):
-                continue
-            share = np.array([now.get(x, _start()) for x in p.pool])
-            post = _posterior(np.array(p.odds.tolist()), share)
-            best = 1 + post[:, 1:].argmax(axis=1)
-            ok = post[:, 0] < 0.5
-            yield pd.DataFrame({"source_table": p.source_table[ok], "key": p.key[ok], "chain": [CHAINS[i] for i in best[ok]], "confidence": 1 - post[ok, 0]})
+    m = records.filter(suspicious(F.col("text"))).select("source_table", "key", "text").mapInPandas(_measure, "source_table string, key string, odds array<double>")
+    if pools is None:
+        m = cut(m.withColumn("pool", F.col("source_table")), "evidence")
+    else:
+        m = cut(cut(m, "evidence").join(pools, ["source_table", "key"], "left").withColumn("pool", F.coalesce("pool", "source_table")), "pooled")
+    j = _judged(m, shares(m)).withColumn("others", F.slice("post", 2, len(CHAINS) - 1)).filter(F.col("post")[0] < 0.5)
+    best = F.array_position("others", F.array_max("others"))
+    return j.select("source_table", "key", F.element_at(F.array(*map(F.lit, CHAINS[1:])), best.cast("int")).alias("chain"), (1 - F.col("post")[0]).alias("confidence"))
 
-    return m.mapInPandas(decide, "source_table string, key string, chain string, confidence double")
 
+def restored(records: DataFrame, pools: DataFrame | None = None) -> DataFrame:
+    """``source_table, key, chain, confidence, original``: garbled records, with the original text where nothing was lost.
 
-def restored(records: DataFrame) -> DataFrame:
-    """``source_table, key, chain, confidence, original``: garbled records, with the original text where nothing was lost."""
-    g = garbled(records)
+    Of a page, entities beyond ASCII come out as the characters they stand for.
+    """
+    g = garbled(records, pools)
 
     def fix(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
-            p["original"] = [repair(_seen(t, False), c) for t, c in zip(p.text, p.chain)]
+            p["original"] = [repair(_seen(t, s == "content"), c) for s, t, c in zip(p.source_table, p.text, p.chain)]
             yield p.drop(columns="text")
 
     return g.join(records.filter(suspicious(F.col("text"))).select("source_table", "key", "text"), ["source_table", "key"]).mapInPandas(fix, "source_table string, key string, chain string, confidence double, original string")
 
 
+def pools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``source_table, key, pool``: the source of each page and of each unit's norm, with the field."""
+    m = table(spark, sf_dir, "metadata").select("id", "loaded_at", "nguon_thu_thap")
+    m = latest(m, "id", "loaded_at", F.xxhash64("nguon_thu_thap")).select(F.col("id").cast("string").alias("norm_id"), F.col("nguon_thu_thap").alias("source"))
+    c = table(spark, sf_dir, "component").select("comp_id", "norm_id", "updated_at")
+    c = latest(c, "comp_id", "updated_at", F.xxhash64("norm_id")).join(m, "norm_id")
+    u = c.select(F.lit("text_unit").alias("source_table"), F.concat("comp_id", F.lit("__tu")).alias("key"), "source")
+    p = m.select(F.lit("content").alias("source_table"), F.col("norm_id").alias("key"), "source").unionByName(u)
+    return p.select("source_table", "key", F.concat_ws(":", "source_table", "source").alias("pool"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of text_unit and pages of content with any garbled text."""
-    return garbled(both(spark, sf_dir, suspicious)).select("source_table", F.col("key").alias("record_key"))
+    return garbled(both(spark, sf_dir, suspicious), pools(spark, sf_dir)).select("source_table", F.col("key").alias("record_key"))
 
 
 def p3_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Garbled records with their chain, its confidence and the original text (null where something was lost)."""
-    return restored(cut(both(spark, sf_dir, suspicious).filter("text is not null"), "suspicious")).withColumnRenamed("key", "record_key")
+    return restored(cut(both(spark, sf_dir, suspicious).filter("text is not null"), "suspicious"), pools(spark, sf_dir)).withColumnRenamed("key", "record_key")
 
 
-def garbled_units(units: DataFrame) -> DataFrame:
+def garbled_units(units: DataFrame, pools: DataFrame | None = None) -> DataFrame:
     """Keys of the garbled ones among ``key, text`` of text units."""
-    return garbled(units.select(F.lit("text_unit").alias("source_table"), "key", "text")).select("key")
+    return garbled(units.select(F.lit("text_unit").alias("source_table"), "key", "text"), pools).select("key")

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from normspark.llm.encoding import garbled_units
+from normspark.llm.encoding import garbled_units, pools
 from normspark.llm.text import text_units
 from normspark.llm.vietnamese import LETTERS
 from normspark.operators.records import latest
@@ -177,7 +177,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records whose text differs from its consistent form, garbled ones left out."""
     # what is neither garbled nor unusual needs no further look: the rest is small and is read twice
     u = cut(text_units(spark, sf_dir, lambda c: odd(c) | c.rlike(r"\?\p{L}")).filter("text is not null"), "unusual")
-    g = garbled_units(u)
+    g = garbled_units(u, pools(spark, sf_dir))
     n = normalised(u.select(F.lit("text_unit").alias("source_table"), "key", "text"), w := _words(spark, sf_dir)).select("source_table", "key")
     n = n.join(g, "key", "left_anti").select("source_table", "key").unionByName(normalised(_other(spark, sf_dir), w).select("source_table", "key"))
     return n.select("source_table", F.col("key").alias("record_key"))

@@ -1,5 +1,7 @@
 """Markup, encodings, look-alikes and languages on awkward texts."""
 
+import html
+import html.entities
 import unicodedata
 
 import pytest
@@ -58,8 +60,29 @@ def test_markup_in_furniture_and_copies_is_found(spark, tmp_path):
     assert got == {(str(i), "markdown") for i in range(100)} | {(str(i), "latex") for i in range(60, 100)}
 
 
+def vni(text: str) -> str:
+    """Text as VNI writes it, read as Latin-1: marks as characters of their own, as large as their letter."""
+    mark = {unicodedata.normalize("NFC", m): c for c, m in E.VNI_MARKS.items() if c.islower()} | {"\u0306\u0323": "ë"}
+    own = {d: c for c, d in E.VNI_LETTERS.items()}
+    out = []
+    for c in text:
+        d = unicodedata.normalize("NFD", c)
+        if c in own:
+            out.append(own[c])
+        elif d[1:2] == "\u031b":
+            out.append(own[unicodedata.normalize("NFC", d[:2])] + "".join(m.upper() if d[0].isupper() else m for m in (mark[x] for x in d[2:])))
+        else:
+            m = "".join(sorted(d[1:], key="\u0302\u0306".find, reverse=True)) if len(d) > 2 else d[1:]
+            if m and m not in mark and unicodedata.normalize("NFC", m) not in mark:
+                m = m[::-1]
+            m = mark[m] if m else ""
+            out.append(d[0] + (m.upper() if d[0].isupper() else m))
+    return "".join(out)
+
+
 GARBLED = {
     "cp1252": CLEAN.encode().decode("latin-1"), "mac_roman": CLEAN.encode().decode("mac_roman"), "cp850": CLEAN.encode().decode("cp850"), "twice": CLEAN.encode().decode("latin-1").encode().decode("latin-1"),
+    "vni": vni(CLEAN), "vni capitals": vni(CLEAN.upper()),
     "tcvn": "".join({v: chr(k) for k, v in E.TCVN3.items()}.get(c, c) for c in CLEAN),
 }
 
@@ -69,11 +92,18 @@ def test_garbled_found_and_restored(spark):
     rows = [("text_unit", k, v) for k, v in GARBLED.items()] + [("text_unit", "part", part), ("text_unit", "asked", "C? quan qu?n lý ngu?n n??c ???c phép hoàn tr?"), ("text_unit", "lost", "Tổ ch�c")]
     fine = [CLEAN, "Tên gọi cũ: “Société de l'Île n° 6”, § 2.", "Nhãn hiệu “Grünfeld®” và “Søndal™”, giá 4 €.", "Ống Ø 48 mm ± 2 %, ký hiệu Δt; ©2002.", "theo ГОСТ 2925…", "ĐỢT 2, ÂM LƯỢNG À, Ý KIẾN Ó.", "c­ó B­ình", "hỏi gì? Đáp", None, ""]
     rows += [("content", f"fine{i}", t) for i, t in enumerate(fine)] + [("content", "entity", CLEAN.encode().decode("latin-1").replace("á»", "&aacute;&raquo;"))]
+    # pages that spell every character beyond ASCII as an entity, of three kinds
+    spelled = {"named": lambda c: f"&{html.entities.codepoint2name[ord(c)]};" if ord(c) in html.entities.codepoint2name else c, "decimal": lambda c: f"&#{ord(c)};", "hex": lambda c: f"&#x{ord(c):X};"}
+    pages = {f"{k} {how}": "<p>" + "".join(c if c.isascii() else f(c) for c in GARBLED[k]) + "&amp; x &lt; y</p>" for k in ("cp1252", "tcvn", "vni") for how, f in spelled.items()}
+    rows += [("content", k, v) for k, v in pages.items()]
     df = spark.createDataFrame(rows, "source_table string, key string, text string").withColumn("chain", F.lit("x")).withColumn("odds", F.lit(1))
     got = {r["key"]: r for r in E.restored(df).collect()}
-    assert set(got) == {*GARBLED, "part", "asked", "lost", "entity"}
+    assert set(got) == {*GARBLED, "part", "asked", "lost", "entity", *pages}
+    assert {got[k]["original"] for k in pages} == {f"<p>{CLEAN}&amp; x &lt; y</p>"}
+    two = df.select("source_table", "key", F.when(F.hash("key") % 2 == 0, "a").otherwise("b").alias("pool"))
+    assert {r["key"] for r in E.garbled(df, two).collect()} == set(got)
     for k in GARBLED:
-        assert got[k]["original"] == CLEAN, k
+        assert got[k]["original"] == (CLEAN.upper() if "capitals" in k else CLEAN), k
     assert got["part"]["original"] == "Tổ chức hoàn trả chứng từ đúng hạn." and got["asked"]["original"] is None and got["lost"]["original"] is None
     assert E.garbled(df.filter("false")).count() == 0
 
