@@ -16,7 +16,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from normspark.session import spread, table
@@ -40,8 +40,8 @@ PASSAGE, PASSAGE_ZH, TEXT = 100, 60, 40
 #: Sentences with fewer letters follow their neighbours.
 SHORT = 18
 BITS, GRAMS = 16, (1, 2, 3, 4)
-#: Rows of the labelled sample used for training, per language: far more than it has, and a bound for larger ones.
-TRAIN_ROWS = 2000
+#: Rows of the labelled sample used for training, per language: more than it has, and a bound for larger ones.
+TRAIN_ROWS = 200
 EPOCHS, LAMBDA = 30, 1e-4
 
 _SENTENCE = re.compile(r"(?<=[.!?;。！？；])(?=\s|[一-鿿])|\n+|\s/\s|\s\|\s")
@@ -96,22 +96,32 @@ def sums(texts: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return out, count
 
 
-def svm(x: np.ndarray, y: np.ndarray, gram: np.ndarray, epochs: int = EPOCHS, lam: float = LAMBDA) -> np.ndarray:
-    """Weights of a linear support vector machine without intercept: dual coordinate descent on the squared hinge.
+def svms(h: np.ndarray, owner: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, lam: float = LAMBDA) -> np.ndarray:
+    """Weights (a row per feature, a column per machine) of linear support vector machines without intercept.
 
-    ``gram`` holds the inner products of the rows of ``x``: a step costs as much as there are rows, not features.
+    ``h`` lists the features of all texts, ``owner`` the text of each; ``y`` has a row per text and a column per machine:
+    1 and -1 for its two sides, 0 for texts that are no concern of it. Dual coordinate descent on the squared hinge, one
+    text at a time for all machines at once; texts stay sparse.
     """
+    n, width = y.shape
+    code, uses = np.unique(owner.astype(np.int64) << BITS | h, return_counts=True)
+    text, feature = code >> BITS, code & ((1 << BITS) - 1)
+    ends = np.searchsorted(text, np.arange(n + 1))
+    value = uses / np.sqrt(np.maximum(np.bincount(text, uses, n), 1))[text]
+    rows = [(feature[a:b], value[a:b]) for a, b in zip(ends, ends[1:])]
+    soft = lam * np.maximum((y != 0).sum(axis=0), 1) / 2  # 1 / 2c
     rng = np.random.default_rng(7)
-    c = 1 / (lam * len(x))
-    score, alpha = np.zeros(len(x)), np.zeros(len(x))
-    q = np.diag(gram) + 1 / (2 * c)
+    w, alpha = np.zeros((1 << BITS, width)), np.zeros((n, width))
+    square = np.array([v @ v for _, v in rows])
     for _ in range(epochs):
-        for i in rng.permutation(len(x)):
-            new = max(0.0, alpha[i] - (y[i] * score[i] - 1 + alpha[i] / (2 * c)) / q[i])
-            if new != alpha[i]:
-                score += (new - alpha[i]) * y[i] * gram[i]
-                alpha[i] = new
-    return x.T @ (alpha * y).astype(np.float32)
+        for i in rng.permutation(n):
+            at, v = rows[i]
+            new = np.maximum(0, alpha[i] - (y[i] * (v @ w[at]) - 1 + alpha[i] * soft) / (square[i] + soft))
+            step = (new - alpha[i]) * y[i]
+            if step.any():
+                w[at] += v[:, None] * step
+                alpha[i] = np.where(y[i] != 0, new, 0)
+    return w
 
 
 @dataclass
@@ -161,20 +171,10 @@ def train(rows: list[tuple[str, str]]) -> Model:
                 if len(x := _letters(v)) > SHORT // 2:
                     data.append((lang, x))
     texts = [t for _, t in data]
-    h, o = _hashes(texts)
-    seen, col = np.unique(h, return_inverse=True)
-    x = np.zeros((len(texts), len(seen)), np.float32)
-    np.add.at(x, (o, col), 1)
-    x /= np.sqrt(x.sum(axis=1, keepdims=True))
     langs = np.array([a for a, _ in data])
-    cols, gram = [], (x @ x.T).astype(np.float64)
-    for ls in FAMILIES.values():
-        cols.append(svm(x, np.where(np.isin(langs, ls), 1.0, -1.0), gram))
-    for _, a, b in PAIRS:
-        ok = (langs == a) | (langs == b)
-        cols.append(svm(x[ok], np.where(langs[ok] == a, 1.0, -1.0), gram[np.ix_(ok, ok)]))
-    weights = np.zeros((1 << BITS, len(cols)))
-    weights[seen] = np.array(cols).T
+    sides = [np.where(np.isin(langs, ls), 1, -1) for ls in FAMILIES.values()]
+    sides += [(langs == a).astype(int) - (langs == b) for _, a, b in PAIRS]
+    weights = svms(*_hashes(texts), np.array(sides, float).T)
     model = Model(weights, 1.0)
     s, n = sums(texts, weights)
     own = np.array([[langs[i] in ls for ls in FAMILIES.values()] for i in range(len(langs))])
@@ -185,9 +185,10 @@ def train(rows: list[tuple[str, str]]) -> Model:
 
 
 def fitted(spark: SparkSession, sf_dir: str, keep=None) -> Model:
-    """The machines trained on lang_sample: at most TRAIN_ROWS rows a language go to the driver."""
-    s = table(spark, sf_dir, "lang_sample").filter("text is not null").orderBy("lang", "sample_no")
-    rows = s.limit(TRAIN_ROWS * len(LANGUAGES)).collect()
+    """The machines trained on lang_sample: the first TRAIN_ROWS rows of each of our languages go to the driver."""
+    s = table(spark, sf_dir, "lang_sample").filter("text is not null").filter(F.col("lang").isin(*LANGUAGES)).select("lang", "sample_no", "text")
+    first = Window.partitionBy("lang").orderBy("sample_no", "text")
+    rows = s.withColumn("row", F.row_number().over(first)).filter(F.col("row") <= TRAIN_ROWS).orderBy("lang", "row").collect()
     return train([(r["lang"], r["text"]) for r in rows if keep is None or keep(r["sample_no"])])
 
 
