@@ -116,23 +116,36 @@ def test_syllables(w, ok):
 def test_one_form_for_what_looks_alike(spark):
     words = {w: 5 for w in "Khoản Điều Chương Phần XVIII quy định tại hướng dẫn khoản I II bình sa".split()}
     root = K.trie(words)
+    spell = lambda w: K.spelled(w, root)
     same = ["Khoản 1", "Khoả̉n 1".replace("ả̉", "ả"), "Кхоản 1".replace("х", "h"), "Kh​oản 1", "Ｋｈｏảｎ　１", "Kh­oản 1", "Κhοản 1"]
-    assert {K.consistent(t, root) for t in same} == {"Khoản 1"}
-    assert K.consistent("Ðiều 2, Ɖiều 3, Đіều 4", root) == "Điều 2, Điều 3, Điều 4"
-    assert K.consistent("Chương Ⅷ ΧVΙΙΙ các‑bon", root) == "Chương VIII XVIII các-bon"
+    assert {K.consistent(t, spell) for t in same} == {"Khoản 1"}
+    assert K.consistent("Ðiều 2, Ɖiều 3, Đіều 4", spell) == "Điều 2, Điều 3, Điều 4"
+    assert K.consistent("Chương Ⅷ ΧVΙΙΙ các‑bon", spell) == "Chương VIII XVIII các-bon"
     for t in ["m², ½ – ¾ n° “x” Δt α = 0,5 ГОСТ 5", "hoà và hòa", "a  b\n\nc", "Société Søndal ©™", "農業，审查", ""]:
-        assert K.consistent(t, root) == t
-    assert K.consistent(unicodedata.normalize("NFD", "chưa hề có từ này"), root) == "chưa hề có từ này"
+        assert K.consistent(t, spell) == t
+    assert K.consistent(unicodedata.normalize("NFD", "chưa hề có từ này"), spell) == "chưa hề có từ này"
     df = spark.createDataFrame([("metadata", str(i), t, 1) for i, t in enumerate(same)] + [("metadata", "null", None, 1), ("metadata", "empty", "", 1)], "source_table string, key string, text string, form int")
-    got = K.normalised(df, words).collect()
-    assert {r["key"] for r in got} == {str(i) for i in range(1, len(same))} and {r["form"] for r in got} == {"Khoản 1"}
-    every = {r["key"]: (r["form"], r["changed"]) for r in K.forms(df, words).collect()}
+    texts = spark.createDataFrame([(" ".join(words),), (None,), ("",)], "text string")
+    assert {r["key"] for r in K.changed(df, texts).collect()} == {str(i) for i in range(1, len(same))}
+    every = {r["key"]: (r["form"], r["changed"]) for r in K.forms(df, texts).collect()}
+    assert {every[str(i)][0] for i in range(len(same))} == {"Khoản 1"}
     assert every["0"] == ("Khoản 1", False) and every["2"] == ("Khoản 1", True) and every["null"] == (None, False) and every["empty"] == ("", False) and len(every) == len(same) + 2
-    assert K.vocabulary(df, 3)["Khoản"] >= 1 and K.normalised(df.filter("false"), words).count() == 0
+    assert K.changed(df.filter("false"), texts).count() == 0 and K.forms(df, texts.filter("false")).count() == len(every)
+
+
+def test_letters_that_are_nearly_alike_need_a_word_however_large_the_vocabulary(spark):
+    rare = [(f"từ{'abcdefgh'[i % 8]}{'ijklmnop'[i // 8 % 8]}{'qrstuvxy'[i // 64 % 8]}",) for i in range(512)] * 2 + [("hoạch định",)]
+    texts = spark.createDataFrame(rare, "text string")
+    df = spark.createDataFrame([("component", "known", "kế нoạch"), ("component", "unknown", "kế нxạchz"), ("component", "russian", "нет"), ("component", "spaces", "a\u00a0b"), ("component", "again", "kế нoạch")], "source_table string, key string, text string")
+    got = {r["key"]: r["form"] for r in K.forms(df, texts).collect()}
+    assert got == {"known": "kế hoạch", "again": "kế hoạch", "unknown": "kế нxạchz", "russian": "нет", "spaces": "a b"}
+    assert {r["key"] for r in K.changed(df, texts).collect()} == {"known", "again", "spaces"}
 
 
 def test_walk_prefers_the_commonest():
-    assert K.walk("l​а", K.trie({"la": 2, "là": 9})) == "la" and K.walk("zzz", K.trie({"la": 1})) is None
+    assert K.walk("l​а", K.trie({"la": 2, "là": 9})) == "la" and K.walk("ﬁн", K.trie({"fih": 1, "fi": 9})) == "fih"
+    assert K.walk("н", K.trie({"н": 1, "h": 9})) == "н"  # a letter with a weight costs more than the letter itself
+    assert K.walk("zzz", K.trie({"la": 1})) is None
 
 
 SAMPLE = {
