@@ -9,6 +9,7 @@ QUERIES = {
     "p1_groups": near_dup.groups,
     "p2_found": markup.residue,
     "p2_clean": markup.cleaned,
+    "p2_branches": markup.p2_branches,
     "p3_found": encoding.p3_found,
     "p3_restored": encoding.p3_restored,
     "p6_found": lookalikes.p6_found,

@@ -42,6 +42,22 @@ def test_style_tree_drops_site_furniture_only(spark):
     assert M.cleaned_pages(df.filter("false")).count() == 0
 
 
+def test_nested_furniture_goes_as_a_branch_and_varied_branches_stay(spark):
+    menu = "<div class='side'><div class='menu'><ul><li>Trang chủ</li><li>Văn bản</li></ul></div><div class='note'><p>Bản quyền</p></div></div>"
+    rows = [(str(i), f"<body>{menu}<div class='main'><h1>Luật</h1>" + f"<p>Đoạn {i}</p>" * (1 + i % 4) + f"<table><tr><td>ô {i}</td></tr></table>" * (i % 2) + "</div></body>", "h") for i in range(120)]
+    df = spark.createDataFrame(rows + [("two", f"<body>{menu}</body>", "small"), ("too", f"<body>{menu}<p>khác</p></body>", "small")], "key string, text string, host string")
+    got = {r["key"]: r["texts"] for r in M.cleaned_pages(df).collect()}
+    assert got["5"] == ["Đoạn 5", "Đoạn 5", "ô 5"] and got["4"] == ["Đoạn 4"]  # a title that never changes goes too
+    assert got["two"] == ["Trang chủ", "Văn bản", "Bản quyền"] and got["too"][-1] == "khác"  # two pages prove little
+    tree = M.merged(df.mapInPandas(M._parse, M._PARSED)).cache()
+    e = {(r["host"], r["node"]): r for r in M.branches(tree).collect()}
+    low = {k for k, r in e.items() if r["best"] < M.LEAST}
+    tops = [r for k, r in e.items() if k in low and (r["host"], r["up"]) not in low]
+    assert {r["host"] for r in tops} == {"h"} and any(r["depth"] == 2 and r["m"] == 120 for r in tops)  # the whole side, not its parts
+    assert all(e[k]["best"] >= e[k]["own"] for k in e) and max(r["own"] for r in e.values()) <= 1
+    assert M.branches(tree.filter("false")).count() == 0
+
+
 def test_copies_of_a_page_are_not_furniture(spark):
     copy = "<div class='nav'>Trang chủ</div><h1>Luật mẫu</h1><p>Nội dung chung</p>"
     pages = [(f"c{i}", copy, "h") for i in range(900)] + [(str(i), f"<div class='nav'>Trang chủ</div><h1>Luật {i}</h1><p>Nội dung {i}</p>", "h") for i in range(60)]
