@@ -44,10 +44,10 @@ def test_style_tree_drops_site_furniture_only(spark):
 
 def test_nested_furniture_goes_as_a_branch_and_varied_branches_stay(spark):
     menu = "<div class='side'><div class='menu'><ul><li>Trang chủ</li><li>Văn bản</li></ul></div><div class='note'><p>Bản quyền</p></div></div>"
-    rows = [(str(i), f"<body>{menu}<div class='main'><h1>Luật</h1>" + f"<p>Đoạn {i}</p>" * (1 + i % 4) + f"<table><tr><td>ô {i}</td></tr></table>" * (i % 2) + "</div></body>", "h") for i in range(120)]
+    rows = [(str(i), f"<body>{menu}<div class='main'><h1>Luật</h1>" + f"<p>Đoạn {i}</p>" * (1 + i % 4) + f"<table><tr><th>Mức thu</th></tr><tr><td>ô {i}</td></tr></table>" * (i % 2) + "</div></body>", "h") for i in range(120)]
     df = spark.createDataFrame(rows + [("two", f"<body>{menu}</body>", "small"), ("too", f"<body>{menu}<p>khác</p></body>", "small")], "key string, text string, host string")
     got = {r["key"]: r["texts"] for r in M.cleaned_pages(df).collect()}
-    assert got["5"] == ["Đoạn 5", "Đoạn 5", "ô 5"] and got["4"] == ["Đoạn 4"]  # a title that never changes goes too
+    assert got["5"] == ["Đoạn 5", "Đoạn 5", "Mức thu", "ô 5"] and got["4"] == ["Đoạn 4"]  # a title that never changes goes too
     assert got["two"] == ["Trang chủ", "Văn bản", "Bản quyền"] and got["too"][-1] == "khác"  # two pages prove little
     tree = M.merged(df.mapInPandas(M._parse, M._PARSED)).cache()
     e = {(r["host"], r["node"]): r for r in M.branches(tree).collect()}
