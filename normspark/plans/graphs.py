@@ -250,7 +250,7 @@ _FORMAT = r"CASE WHEN accumulated_text IS NULL THEN 'null_text' WHEN NOT regexp_
 _VALUES = lambda rows: "VALUES " + ", ".join(f"({r[0]}, '{r[2].replace(chr(39), chr(39) * 2)}')" for r in rows)
 
 from normspark.plans.documents import _REL  # noqa: E402
-from normspark.plans.keys import _TREE  # noqa: E402
+from normspark.plans.keys import _BELOW, _TREE  # noqa: E402
 
 _RE = f"{_REL}, re AS (SELECT DISTINCT from_norm_id, to_norm_id, relation_type FROM r WHERE from_norm_id IN (SELECT norm_id FROM m) AND to_norm_id IN (SELECT norm_id FROM m))"
 _FLAGS = f"""{_U}, v AS (SELECT unit_id, accumulated_text AS t, {_FORMAT} AS format, length({_BODY}) AS n, len(regexp_extract_all(accumulated_text, '(?m)^Bảng \\[')) AS tables,
@@ -267,7 +267,7 @@ ORACLES = {
     "budget_trim": f"WITH {_K} SELECT comp_id FROM k ORDER BY comp_id LIMIT 500",
     "budget_trim_edges": f"WITH {_B} SELECT action_id, comp_b_id FROM b ORDER BY action_id, comp_b_id LIMIT 150",
     "orphans": _TREE + ", o AS (SELECT comp_id FROM (SELECT *, row_number() OVER (PARTITION BY comp_id ORDER BY updated_at DESC NULLS LAST) AS rn FROM component) k WHERE rn = 1 AND coalesce(trim(parent_comp_id), '') = '' AND norm_id IN (SELECT CAST(id AS VARCHAR) FROM metadata)) SELECT comp_id FROM r WHERE depth < 0 OR root_comp_id NOT IN (SELECT comp_id FROM o)",
-    "ancestor_chains": _TREE + "SELECT t.comp_id, array_to_string(list_slice(list_reverse(t.seen), 1, len(t.seen) - 1), ' > ') AS path FROM t JOIN r USING (comp_id) WHERE r.depth > 0",
+    "ancestor_chains": _BELOW + "SELECT descendant AS comp_id, string_agg(comp_id, ' > ' ORDER BY distance DESC) AS path FROM b GROUP BY 1",
     "vector_top_k": f"WITH {_NEAR} SELECT vec_id, round(s, 6) AS score FROM e ORDER BY s DESC, vec_id LIMIT 10",
     "vector_top_k_after": f"WITH {_NEAR} SELECT vec_id, round(s, 6) AS score FROM (SELECT * FROM e ORDER BY s DESC, vec_id LIMIT 10) WHERE label < 5",
     "vector_top_k_first": f"WITH {_NEAR} SELECT vec_id, round(s, 6) AS score FROM e WHERE label < 5 ORDER BY s DESC, vec_id LIMIT 10",

@@ -48,6 +48,13 @@ s AS (
 o AS (SELECT ref_table, ref_field, row_id, strftime(ts, '%Y-%m') AS period FROM s WHERE coalesce(live, 0) = 0)
 """
 
+# Members of loops are where a chain comes back to its own start; what is below stays below the member it runs into.
+_BELOW = _TREE + """, o AS (SELECT comp_id FROM t WHERE again = comp_id),
+f AS (SELECT w.comp_id, min(w.d) AS first FROM w JOIN o ON o.comp_id = w.cur GROUP BY 1),
+b AS (SELECT w.cur AS comp_id, w.comp_id AS descendant, CAST(w.d AS BIGINT) AS distance FROM w LEFT JOIN f USING (comp_id)
+  WHERE w.d > 0 AND w.d <= coalesce(f.first, w.d) AND w.comp_id NOT IN (SELECT comp_id FROM o))
+"""
+
 ORACLES = {
     "p4_found": _TREE + "SELECT comp_id, root_comp_id, depth FROM r",
     "p4_paths": _TREE + """, q AS (
@@ -55,15 +62,9 @@ ORACLES = {
     SELECT s.comp_id, p.citation, s.i FROM (SELECT comp_id, unnest(s) AS x, generate_subscripts(s, 1) AS i FROM (SELECT comp_id, CASE WHEN again IS NULL THEN seen ELSE list_slice(seen, 1, list_position(seen, again)) END AS s FROM t)) s
     JOIN p ON p.comp_id = s.x) GROUP BY 1),
 n AS (SELECT cur AS comp_id, count(*) - 1 AS descendants FROM w GROUP BY 1)
-SELECT r.comp_id, r.root_comp_id, r.depth, q.path, n.descendants FROM r JOIN q USING (comp_id) JOIN n USING (comp_id)""",
-    "p4_paths": _TREE + """, q AS (
-  SELECT comp_id, string_agg(citation, ' > ' ORDER BY i DESC) AS path FROM (
-    SELECT s.comp_id, p.citation, s.i FROM (SELECT comp_id, unnest(s) AS x, generate_subscripts(s, 1) AS i FROM (SELECT comp_id, CASE WHEN again IS NULL THEN seen ELSE list_slice(seen, 1, list_position(seen, again)) END AS s FROM t)) s
-    JOIN p ON p.comp_id = s.x) GROUP BY 1),
-n AS (SELECT cur AS comp_id, count(*) - 1 AS descendants FROM w GROUP BY 1)
 SELECT r.comp_id, r.root_comp_id, r.depth, q.path, n.descendants FROM r JOIN q USING (comp_id) JOIN n USING (comp_id)""",
     "p4_loops": _TREE + "SELECT root_comp_id AS loop, count(*) AS components FROM r WHERE depth = -1 GROUP BY 1",
-    "p4_descendants": _TREE + "SELECT w.cur AS comp_id, w.comp_id AS descendant, CAST(w.d AS BIGINT) AS distance FROM w JOIN r USING (comp_id) WHERE w.d > 0 AND r.depth > 0",
+    "p4_descendants": _BELOW + "SELECT * FROM b",
     "p5_found": _ORPHANS + "SELECT * FROM o",
     "p5_report": _ORPHANS + "SELECT ref_table, ref_field, period, count(*) AS orphans FROM o GROUP BY ALL",
 }

@@ -272,7 +272,7 @@ ORACLES = {
       y AS (SELECT *, lead(place) OVER (PARTITION BY norm_id, parent_comp_id ORDER BY order_index, comp_id) AS nxt FROM q WHERE place >= 0)
       SELECT comp_id, CAST(place AS INTEGER) AS place, CAST(nxt AS INTEGER) AS next_place FROM (SELECT *, row_number() OVER (PARTITION BY norm_id, parent_comp_id ORDER BY order_index, comp_id) AS r FROM y WHERE nxt - place > 1) WHERE r = 1""",
     "level_jumps": f"WITH {_COMPONENT} SELECT comp_id, CAST(rank - prank AS BIGINT) AS rank_gap FROM x WHERE rank - prank > 2",
-    "empty_groups": "__TREE__, v AS (SELECT DISTINCT w.cur FROM w JOIN r USING (comp_id) JOIN component k ON k.comp_id = w.comp_id AND k.level = 'Dieu' WHERE w.d > 0 AND r.depth > 0), g AS (SELECT comp_id, level FROM (SELECT *, row_number() OVER (PARTITION BY comp_id ORDER BY updated_at DESC) AS rn FROM component) WHERE rn = 1) SELECT g.comp_id, g.level FROM g JOIN r USING (comp_id) WHERE r.depth >= 0 AND g.level IN ('Phan', 'Chuong', 'Muc', 'TieuMuc') AND g.comp_id NOT IN (SELECT cur FROM v)",
+    "empty_groups": "__TREE__, v AS (SELECT DISTINCT b.comp_id FROM b JOIN component k ON k.comp_id = b.descendant AND k.level = 'Dieu'), g AS (SELECT comp_id, level FROM (SELECT *, row_number() OVER (PARTITION BY comp_id ORDER BY updated_at DESC) AS rn FROM component) WHERE rn = 1) SELECT g.comp_id, g.level FROM g WHERE g.level IN ('Phan', 'Chuong', 'Muc', 'TieuMuc') AND g.comp_id NOT IN (SELECT comp_id FROM o) AND g.comp_id NOT IN (SELECT comp_id FROM v)",
     "length_outliers": f"WITH {_COMPONENT}, t AS (SELECT norm_id, level, comp_id, length(raw_text) AS len FROM x WHERE raw_text <> ''), md AS (SELECT norm_id, level, median(len) AS med, mad(len) AS mad FROM t GROUP BY 1, 2 HAVING count(*) >= 3) SELECT comp_id, len AS text_len FROM t JOIN md USING (norm_id, level) WHERE len > med + 6 * greatest(mad, 1)",
     "single_long_article": f"WITH {_COMPONENT} SELECT norm_id, max(CASE WHEN level = 'Dieu' THEN comp_id END) AS comp_id, CAST(sum(length(raw_text)) AS BIGINT) AS chars FROM x GROUP BY 1 HAVING count(*) FILTER (level = 'Dieu') = 1 AND sum(length(raw_text)) >= 3000",
     "small_leaves": f"WITH {_COMPONENT} SELECT comp_id, length(raw_text) AS text_len, parent_comp_id AS parent_id FROM x WHERE length(raw_text) < 10 AND parent_comp_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM k q WHERE q.parent_comp_id = x.comp_id AND q.norm_id = x.norm_id)",
@@ -288,6 +288,6 @@ ORACLES = {
 from normspark.plans import documents as _documents  # noqa: E402
 from normspark.plans import keys as _keys  # noqa: E402
 
-ORACLES["empty_groups"] = ORACLES["empty_groups"].replace("__TREE__", _keys._TREE)
+ORACLES["empty_groups"] = ORACLES["empty_groups"].replace("__TREE__", _keys._BELOW)
 
 ORACLES["action_links"] = ORACLES["action_links"].replace("__META__", _documents._META).replace("__REL__", _documents._REL).replace("__ELIGIBLE__", _documents._ELIGIBLE)
