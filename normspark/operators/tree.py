@@ -64,26 +64,24 @@ def components(docs: DataFrame) -> DataFrame:
 
     wd = Window.partitionBy("norm_id").orderBy("ord")
     before = wd.rowsBetween(Window.unboundedPreceding, -1)
-    node = F.struct("ord", F.concat("norm_id", F.lit("__c"), F.col("ord").cast("string")).alias("comp_id"), "citation", "title_text", "level", "rank", "raw")
+    node = F.struct("ord", F.concat("norm_id", F.lit("__c"), F.col("ord").cast("string")).alias("comp_id"), "citation", "title_text", "level", "rank")
     lasts = [F.last(F.when(F.col("rank") == k, node), ignorenulls=True).over(before) for k in RANKS]
     n = n.withColumn("next_rank", F.lead("rank").over(wd)).withColumn("lasts", F.array(*lasts))
+    n = n.withColumn("gives", F.when(F.col("next_rank") > F.col("rank"), F.col("raw")))
+    n = n.withColumns({f"given{j}": F.lag("gives", j).over(wd) for j in range(1, len(RANKS))}).drop("gives")
     n = n.withColumn("preamble", F.max(F.when(F.col("ord") == 0, F.col("raw"))).over(Window.partitionBy("norm_id")))
     # open: of a smaller rank than the node, and later than every marker of a rank smaller still
     at = lambda k: F.coalesce(F.col("lasts")[k]["ord"], F.lit(0))
     open_ = [F.when((F.lit(k) < F.col("rank")) & (at(k) > (reduce(F.greatest, [at(j) for j in range(k)], F.lit(0)) if k else F.lit(0))), F.col("lasts")[k]) for k in RANKS]
     alone = F.coalesce(F.max("ord").over(Window.partitionBy("norm_id")), F.lit(0)) == 0  # a document without markers
     n = n.withColumn("alone", alone).filter("ord > 0 or alone").withColumn("chain", F.filter(F.array(*open_), lambda x: x.isNotNull())).drop("lasts", "parts")
-    # text of long parents flows to first children: a first child directly follows its parent
-    empty = F.struct(F.lit(0).cast("long").alias("ord"), F.lit("").alias("text"))
-
-    def flow(acc: Column, x: Column) -> Column:
-        passed = F.when((x["ord"] == acc["ord"] + 1) & (F.length(X.strip(acc["text"])) > S.PARENT_TEXT), acc["text"]).otherwise("")
-        return F.struct(x["ord"].alias("ord"), F.when(x["raw"].isNull(), "").otherwise(F.concat(passed, x["raw"])).alias("text"))
-
-    n = n.withColumn("above", F.aggregate("chain", empty, flow))
+    # text of long parents flows to first children: those that directly follow it. Each marker that a deeper one follows
+    # gives its text to that one only, so the text of a chapter is in no other row
+    given = F.array(*(f"given{j}" for j in range(len(RANKS) - 1, 0, -1)))
+    long = lambda t: F.length(X.strip(t)) > S.PARENT_TEXT
+    passed = F.aggregate(given, F.lit(""), lambda acc, g: F.when(long(F.concat(acc, g)), F.concat(acc, g)).otherwise(""))
     leaf = F.coalesce(F.col("next_rank") <= F.col("rank"), F.lit(True))
-    passed = F.when((F.col("ord") == F.col("above.ord") + 1) & (F.length(X.strip(F.col("above.text"))) > S.PARENT_TEXT), F.col("above.text")).otherwise("")
-    n = n.withColumn("raw_text", F.when(leaf & F.col("raw").isNotNull(), F.concat(passed, "raw")))
+    n = n.withColumn("raw_text", F.when(leaf & F.col("raw").isNotNull(), F.concat(passed, "raw"))).drop(*(f"given{j}" for j in range(1, len(RANKS))))
     first = F.min(F.when(F.col("raw_text").isNotNull(), F.col("ord"))).over(Window.partitionBy("norm_id"))
     n = n.withColumn("raw_text", F.when((F.col("ord") == first) & F.col("preamble").isNotNull() & ~F.col("alone"), F.concat("preamble", "raw_text")).otherwise(F.col("raw_text")))
     short = F.transform("chain", lambda x: F.struct(x["comp_id"].alias("comp_id"), x["citation"].alias("citation"), x["title_text"].alias("title_text"), x["level"].alias("level"), x["rank"].alias("rank")))
