@@ -37,6 +37,7 @@ LEVELS = (
 LABEL = {"Phan": "Phần", "Chuong": "Chương", "Dieu": "Điều", "Khoan": "Khoản", "Diem": "Điểm"}
 # Words before a marker that make it a citation.
 _LEADER = r"(?:tại|theo|trong|của|nêu\s{1,9}tại|quy\s{1,9}định|căn\s{1,9}cứ|đề\s{1,9}cập|khoản\s{1,9}\d{1,9}(?:\s{1,9}[a-zđ]\))?)\s{0,99}"
+# What begins a component within a line.
 _BREAK = (
     rf"(?:(?-i:{_APPENDIX})\b|Phần\s+(?:thứ\s+)?{_ROMAN}\b|Chương\s+{_ROMAN}\b|Tiểu mục\s+\d+|(?<!Tiểu )Mục\s+\d+"
     r"|Điều\s+\d+[a-zđ]?\s*[.:]|(?<=\S)Điều\s+\d+)"
@@ -114,6 +115,7 @@ def letter_position(c: Column) -> Column:
 
 # ---- amendments -----------------------------------------------------------------------------------------------------------
 
+# How a place in a document is cited, and quoted words.
 _PLACE = r"(?:Điểm\s+([a-zđ])\)?\s+)?(?:Khoản\s+(\d+[a-zđ]?)\s+)?Điều\s+(\d+[a-zđ]?)"
 _QUOTED = r'"[^"]+"'
 # The four phrases of an amendment, in order.
@@ -123,6 +125,7 @@ AMENDMENTS = (
     rf"(?iU)Thay thế cụm từ\s*{_QUOTED}\s*bằng cụm từ\s*{_QUOTED}\s+tại\s+{_PLACE}",
     rf"(?iU)Bỏ cụm từ\s*{_QUOTED}\s+tại\s+{_PLACE}",
 )
+# Words of amendment before an article.
 PREFILTER = r"(?isU)(?:sửa đổi|bổ sung|bãi bỏ|thay thế|bỏ cụm).{0,300}Điều\s+\d"
 
 

@@ -82,3 +82,18 @@ def budgeted(tables: dict[str, tuple[DataFrame, list[str]]], max_nodes: int = S.
         out[name] = within_budget(df, order, left)
         left -= min(left, df.count())
     return out
+
+
+def budgeted_edges(edges: dict[str, DataFrame], nodes: DataFrame, max_edges: int = S.MAX_EDGES) -> dict[str, DataFrame]:
+    """Edge tables in the given order: edges between the given ``nodes`` (id), within what is left of the budget.
+
+    The first two columns of an edge table are its ends. Ties are in the order of all columns.
+    """
+    ids = nodes.select(F.col("id").alias("_id")).distinct()
+    out, left = {}, max_edges
+    for name, e in edges.items():
+        for end in e.columns[:2]:
+            e = e.join(ids, F.col(end) == F.col("_id"), "left_semi")
+        out[name] = within_budget(e, e.columns, left)
+        left -= min(left, e.count())
+    return out

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from normspark.functions import text as X
 
+# Control characters, citations that name an outer level before an inner one, the mark of a citation that the
+# parser could not take apart, and the share of such from which a report is flagged.
 CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 REVERSED = r"^(?:Điều\s+\S+\s+Khoản|Khoản\s+\S+\s+Điểm|Điều\s+\S+\s+Điểm).*$"
+FALLBACK, FALLBACK_SHARE = "_FULL_", 5.0
 
 
 def flagged(units: DataFrame, text: str = "accumulated_text") -> DataFrame:
@@ -22,25 +25,34 @@ def flagged(units: DataFrame, text: str = "accumulated_text") -> DataFrame:
     )
 
 
-def _shares(f: DataFrame, section: str, metric: Column) -> DataFrame:
-    return f.filter(metric.isNotNull()).groupBy(metric.alias("metric")).agg(F.count("*").alias("value")).select(F.lit(section).alias("section"), "metric", "value")
+def sampled(units: DataFrame, n: int | None) -> DataFrame:
+    """``n`` units drawn by a hash of their ids: the same ones whenever it is asked; all without ``n``."""
+    return units if n is None else units.orderBy(F.xxhash64("unit_id", F.lit(7)), "unit_id").limit(n)
 
 
 def report(units: DataFrame) -> DataFrame:
-    """``section, metric, value, pct``: format classes, length buckets, odd characters, tables."""
+    """``section, metric, value, pct``: format classes, length buckets, odd characters, tables. One pass over the text."""
     f = flagged(units)
-    flags = F.explode(F.array(*(F.when(F.col(c), F.lit(c)) for c in ("replacement", "control", "pipe_table", "empty_header", "null_text")), F.when(F.col("tables") > 0, F.lit("has_table"))))
-    c = f.select(flags.alias("metric"))
-    r = (
-        _shares(f, "format", F.col("format")).unionByName(_shares(f, "length", F.when(~F.col("null_text"), F.col("length"))))
-        .unionByName(_shares(f, "tables", F.when(F.col("tables") >= 5, F.lit(">=5")).otherwise(F.col("tables").cast("string"))))
-        .unionByName(_shares(c, "flags", F.col("metric")))
+    row = lambda section, metric: F.struct(F.lit(section).alias("section"), metric.alias("metric"))
+    marks = [row("flags", F.when(F.col(c), F.lit(c))) for c in ("replacement", "control", "pipe_table", "empty_header", "null_text")]
+    said = F.array(
+        row("format", F.col("format")), row("length", F.when(~F.col("null_text"), F.col("length"))), row("tables", F.when(F.col("tables") >= 5, F.lit(">=5")).otherwise(F.col("tables").cast("string"))),
+        row("flags", F.when(F.col("tables") > 0, F.lit("has_table"))), *marks,
     )
+    r = f.select(F.explode(said).alias("x")).select("x.*").filter("metric is not null").groupBy("section", "metric").agg(F.count("*").alias("value"))
     # every unit has one format, so these rows sum to the units; the table is a handful of rows by now
     total = F.sum(F.when(F.col("section") == "format", F.col("value"))).over(Window.partitionBy(F.lit(0)))
     return r.withColumn("pct", F.round(100.0 * F.col("value") / total, 1))
 
 
+def fallbacks(c: DataFrame) -> DataFrame:
+    """``components, fallback, pct, flagged``: citations that the parser could not take apart; flagged above 5 %."""
+    hit = F.coalesce(F.col("citation").contains(FALLBACK), F.lit(False))
+    r = c.agg(F.count("*").alias("components"), F.count_if(hit).alias("fallback"))
+    pct = F.coalesce(F.try_divide(100.0 * F.col("fallback"), F.col("components")), F.lit(0.0))
+    return r.select("components", "fallback", F.round(pct, 1).alias("pct"), (pct > FALLBACK_SHARE).alias("flagged"))
+
+
 def leaf_coverage(c: DataFrame, units: DataFrame) -> DataFrame:
     """``leaves, covered, pct``: leaves that have a text unit; 0 % where there are no leaves."""
     parents = c.select(F.col("parent_comp_id").alias("comp_id")).filter("comp_id is not null").distinct()

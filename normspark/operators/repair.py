@@ -30,7 +30,7 @@ def deduplicated(c: DataFrame) -> DataFrame:
 
     Scores tie to the earlier component. Null parents (the root) count as equal.
     """
-    w = Window.partitionBy("norm_id", "parent_comp_id", "citation").orderBy(X.text_score(F.col("raw_text")).desc(), "order_index")
+    w = Window.partitionBy("norm_id", "parent_comp_id", "citation").orderBy(X.text_score(F.col("raw_text")).desc(), "order_index", "comp_id")
     c = c.withColumn("_best", F.row_number().over(w) == 1)
     return _without(c, ~F.col("_best")).drop("_best")
 
@@ -79,6 +79,15 @@ def issues(c: DataFrame) -> DataFrame:
     )
 
 
+def same_titles(c: DataFrame) -> DataFrame:
+    """A2: components of one document and level that share a title: ``norm_id, level, title_text, n, first``.
+
+    A group instead of its pairs, as a title that many share would give their square. Components without a title are none.
+    """
+    t = c.filter(F.coalesce(X.strip(F.col("title_text")), F.lit("")) != "")
+    return t.groupBy("norm_id", "level", "title_text").agg(F.count("*").alias("n"), F.min("comp_id").alias("first")).filter("n > 1")
+
+
 def _rule(d: DataFrame, rule: str, severity: Column | str, comp: Column, **details: Column) -> DataFrame:
     kv = [x for k, v in details.items() for x in (F.lit(k), v.cast("string"))]
     sev = F.lit(severity) if isinstance(severity, str) else severity

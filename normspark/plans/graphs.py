@@ -8,7 +8,7 @@ from normspark.functions import html
 from normspark.functions import text as X
 from normspark.operators import graph, hierarchy, quality, relations, vector
 from normspark.operators.records import latest
-from normspark.session import cut, table
+from normspark.session import cut, spread, table
 
 
 
@@ -204,36 +204,28 @@ def html_lines(s, d):
     return c.select("id", F.when(F.col("markdown") == "", 0).otherwise(F.size(F.split("markdown", "\n"))).cast("long").alias("lines"), X.prose_tables(F.col("markdown")).cast("long").alias("tables"), "convert_error")
 
 
-_FIXTURE = [
-    (1, "<table><tr><th>Tên</th><th>Mức</th></tr><tr><td>a</td><td>1</td></tr><tr><td>b</td><td></td></tr></table>", "Bảng [Tên | Mức]:\nTên: a, Mức: 1\nTên: b, Mức: "),
-    (2, "<table><tr><th colspan='2'>Cha</th><th rowspan='2'>Kia</th></tr><tr><td>x</td><td>y</td></tr><tr><td>1</td><td>2</td><td>3</td></tr></table>", "Bảng [Cha > x | Cha > y | Kia]:\nCha > x: 1, Cha > y: 2, Kia: 3"),
-    (3, "<p>Một</p><table><tr><td> </td></tr></table><p>Hai.......... ba</p>", "Một\nHai ba"),
-    (4, "<table><tr><td>Tên</td></tr><tr><td rowspan=2>v</td></tr><tr></tr></table>", "Bảng [Tên]:\nTên: v\nTên: v"),
-    (5, "", ""),
-]
-
-
 def html_tables(s, d):
-    """Tables of a fixture: plain, merged header, empty, merged rows."""
-    f = s.createDataFrame([x[:2] for x in _FIXTURE], "id long, content_html string")
-    return html.converted(f).select("id", "markdown")
+    """The tables of every page as prose: page, number of tables and of lines, header lines."""
+    c = latest(table(s, d, "content"), "id", "loaded_at", F.xxhash64("content_html")).select("id", "content_html")
+    t = html.converted(spread(c)).select("id", "convert_error", F.split("markdown", "\n").alias("lines"))
+    heads = F.filter("lines", lambda x: x.startswith("Bảng ["))
+    return t.select("id", F.size("lines").cast("long").alias("lines"), F.size(heads).cast("long").alias("tables"), heads.alias("headers"), "convert_error")
 
 
-_SPLITS = [
-    (1, "Mở đầu. Điều 2. Nội dung", "Mở đầu. |Điều 2. Nội dung"), (2, "quy định tại Điều 5. Hết", "quy định tại Điều 5. Hết"), (3, "Điều 2. 1. Thu ngân sách", "Điều 2.| 1. Thu ngân sách"),
-    (4, "Điều 1. Phạm vi", "Điều 1. Phạm vi"), (5, "kín.Điều 3 khác", "kín.|Điều 3 khác"), (6, "theo Chương II và Mục 3", "theo Chương II và |Mục 3"), (7, "A Phần I B Chương II C", "A |Phần I B |Chương II C"), (8, "  ", ""),
-]
+def header_splits(s, d):
+    """The lines of every page that hold more than one marker, broken at these."""
+    c = latest(table(s, d, "content"), "id", "loaded_at", F.xxhash64("content_html")).select("id", "content_html")
+    t = html.converted(spread(c)).select("id", F.posexplode(F.split("markdown", "\n")).alias("at", "line"))
+    return t.select("id", "at", F.array_join(X.split_at_headers(F.col("line")), "|").alias("pieces")).filter(F.col("pieces").contains("|"))
 
 
-def header_splits(s, d):
-    """Lines of a fixture, broken at markers."""
-    f = s.createDataFrame([x[:2] for x in _SPLITS], "id long, line string")
-    return f.select("id", F.array_join(X.split_at_headers(F.col("line")), "|").alias("pieces"))
+def fallback_share(s, d):
+    return quality.fallbacks(_components(s, d))
 
 
 QUERIES = {f.__name__: f for f in (
     contains_edges, has_textunit_edges, apply_to_edges, relation_edges, merged_norms, graph_counts, budget_trim, budget_trim_edges, orphans, ancestor_chains, vector_top_k, vector_top_k_after, vector_top_k_first, retrieve,
-    embed_pending, embed_unembeddable, embed_resumed, embed_retry, quality_report, quality_examples, leaf_coverage, two_ended_actions, short_units, reversed_citations, embedded_share, norm_reach, html_lines, html_tables, header_splits,
+    embed_pending, embed_unembeddable, embed_resumed, embed_retry, quality_report, quality_examples, leaf_coverage, two_ended_actions, short_units, reversed_citations, embedded_share, norm_reach, html_lines, html_tables, header_splits, fallback_share,
 )}
 
 _K = "k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY comp_id ORDER BY updated_at DESC NULLS LAST) AS rn FROM component WHERE comp_id IS NOT NULL) WHERE rn = 1)"
@@ -247,7 +239,6 @@ _STRIP = r"regexp_replace(accumulated_text, '^[\s\x{a0}\x{2000}-\x{200a}\x{202f}
 _NEAR = "e AS (SELECT vec_id, label, list_cosine_similarity(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings ORDER BY vec_id LIMIT 1)) AS s FROM embeddings)"
 _BODY = r"regexp_replace(regexp_replace(accumulated_text, '^\[[^\]]*\](\n+|$)', ''), '^[\s\x{a0}\x{2000}-\x{200a}\x{202f}\x{3000}]+|[\s\x{a0}\x{2000}-\x{200a}\x{202f}\x{3000}]+$', '', 'g')"
 _FORMAT = r"CASE WHEN accumulated_text IS NULL THEN 'null_text' WHEN NOT regexp_matches(accumulated_text, '^\[[^\]]*\](\n|$)') THEN 'no_header' WHEN regexp_matches(regexp_extract(accumulated_text, '^\[([^\]]*)\]', 1), '[>→]') THEN 'ok' ELSE 'header_no_separator' END"
-_VALUES = lambda rows: "VALUES " + ", ".join(f"({r[0]}, '{r[2].replace(chr(39), chr(39) * 2)}')" for r in rows)
 
 from normspark.plans.documents import _REL  # noqa: E402
 from normspark.plans.keys import _BELOW, _TREE  # noqa: E402
@@ -267,6 +258,7 @@ ORACLES = {
     "budget_trim": f"WITH {_K} SELECT comp_id FROM k ORDER BY comp_id LIMIT 500",
     "budget_trim_edges": f"WITH {_B} SELECT action_id, comp_b_id FROM b ORDER BY action_id, comp_b_id LIMIT 150",
     "orphans": _TREE + ", o AS (SELECT comp_id FROM (SELECT *, row_number() OVER (PARTITION BY comp_id ORDER BY updated_at DESC NULLS LAST) AS rn FROM component) k WHERE rn = 1 AND coalesce(trim(parent_comp_id), '') = '' AND norm_id IN (SELECT CAST(id AS VARCHAR) FROM metadata)) SELECT comp_id FROM r WHERE depth < 0 OR root_comp_id NOT IN (SELECT comp_id FROM o)",
+    "fallback_share": "SELECT count(*) AS components, count(*) FILTER (contains(citation, '_FULL_')) AS fallback, round(100.0 * count(*) FILTER (contains(citation, '_FULL_')) / count(*), 1) AS pct, 100.0 * count(*) FILTER (contains(citation, '_FULL_')) / count(*) > 5 AS flagged FROM (SELECT citation, row_number() OVER (PARTITION BY comp_id ORDER BY updated_at DESC NULLS LAST) AS rn FROM component WHERE comp_id IS NOT NULL) WHERE rn = 1",
     "ancestor_chains": _BELOW + "SELECT descendant AS comp_id, string_agg(comp_id, ' > ' ORDER BY distance DESC) AS path FROM b GROUP BY 1",
     "vector_top_k": f"WITH {_NEAR} SELECT vec_id, round(s, 6) AS score FROM e ORDER BY s DESC, vec_id LIMIT 10",
     "vector_top_k_after": f"WITH {_NEAR} SELECT vec_id, round(s, 6) AS score FROM (SELECT * FROM e ORDER BY s DESC, vec_id LIMIT 10) WHERE label < 5",
@@ -291,6 +283,4 @@ ORACLES = {
     "reversed_citations": f"WITH {_K} SELECT comp_id, citation FROM k WHERE regexp_matches(citation, '^(Điều\\s+\\S+\\s+Khoản|Khoản\\s+\\S+\\s+Điểm|Điều\\s+\\S+\\s+Điểm)')",
     "embedded_share": f"WITH {_U} SELECT count(*) AS units, count(embedding) AS embedded, round(100.0::DOUBLE * count(embedding) / count(*), 1) AS pct FROM u WHERE type = 'noi_dung'",
     "norm_reach": f"WITH {_U}, {_K}, {_M} SELECT count(*) AS units, count(k.norm_id) AS with_component, count(m.title) AS with_title, count(*) FILTER (coalesce(m.norm_number, '') <> '') AS with_number FROM u LEFT JOIN k ON k.comp_id = regexp_replace(unit_id, '__tu(__p[0-9]+)?$', '') LEFT JOIN m ON m.norm_id = k.norm_id WHERE u.type = 'noi_dung'",
-    "html_tables": f"SELECT CAST(id AS BIGINT) AS id, markdown FROM ({_VALUES(_FIXTURE)}) v(id, markdown)",
-    "header_splits": f"SELECT CAST(id AS BIGINT) AS id, pieces FROM ({_VALUES(_SPLITS)}) v(id, pieces)",
 }

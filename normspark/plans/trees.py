@@ -99,6 +99,15 @@ def structure_issues(s, d):
     return repair.issues(_components(s, d)).groupBy("issue_type", "severity").agg(F.count("*").alias("n"))
 
 
+def same_titles(s, d):
+    return repair.same_titles(_components(s, d))
+
+
+def deduplicated(s, d):
+    """What is left once the losers among equal citations have gone, with what was directly below them."""
+    return repair.deduplicated(_components(s, d)).select("comp_id", "parent_comp_id", "citation")
+
+
 def article_gaps(s, d):
     return repair.article_gaps(_components(s, d)).groupBy("norm_id", "n", "nxt").agg(F.count("*").alias("rows"))
 
@@ -233,7 +242,7 @@ def pipeline_edges(s, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    parse_roundtrip, accumulated_text, component_index, round_trip_repaired, dedup_winners, duplicate_citations, structure_issues, article_gaps, sole_clauses, letter_gaps, level_jumps, empty_groups,
+    parse_roundtrip, accumulated_text, component_index, round_trip_repaired, dedup_winners, deduplicated, same_titles, duplicate_citations, structure_issues, article_gaps, sole_clauses, letter_gaps, level_jumps, empty_groups,
     length_outliers, single_long_article, small_leaves, article_resets, action_links, amendment_citations, extraction_outcomes, amendment_prefilter, pipeline_components, pipeline_units, pipeline_warnings, pipeline_edges,
 )}
 
@@ -261,6 +270,8 @@ ORACLES = {
       UNION ALL SELECT 'E1', 'bug', count(*) FROM f WHERE level = 'Dieu' HAVING count(*) > 0
       UNION ALL SELECT 'D1', 'warn', count(*) FROM t2 JOIN md USING (norm_id, level) WHERE len > med + 6 * greatest(mad, 1) HAVING count(*) > 0""",
     "dedup_winners": f"WITH {_COMPONENT} SELECT comp_id, norm_id, citation FROM (SELECT *, row_number() OVER (PARTITION BY norm_id, parent_comp_id, citation ORDER BY {_SCORE} DESC, order_index, comp_id) AS r FROM x) WHERE r = 1",
+    "deduplicated": f"WITH {_COMPONENT}, r AS (SELECT *, row_number() OVER (PARTITION BY norm_id, parent_comp_id, citation ORDER BY {_SCORE} DESC, order_index, comp_id) AS place FROM x) SELECT comp_id, parent_comp_id, citation FROM r WHERE place = 1 AND NOT EXISTS (SELECT 1 FROM r q WHERE q.place > 1 AND q.norm_id = r.norm_id AND q.comp_id = r.parent_comp_id)",
+    "same_titles": f"WITH {_COMPONENT} SELECT norm_id, level, title_text, count(*) AS n, min(comp_id) AS first FROM x WHERE trim(coalesce(title_text, '')) <> '' GROUP BY 1, 2, 3 HAVING count(*) > 1",
     "duplicate_citations": f"WITH {_COMPONENT} SELECT norm_id, parent_comp_id, citation, count(*) AS n FROM x GROUP BY ALL HAVING count(*) > 1",
     "structure_issues": f"""WITH {_COMPONENT}, {_RESET}
       SELECT 'dup_citation' AS issue_type, 'warn' AS severity, count(*) AS n FROM (SELECT 1 FROM x GROUP BY norm_id, parent_comp_id, citation HAVING count(*) > 1) HAVING count(*) > 0

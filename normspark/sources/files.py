@@ -22,6 +22,23 @@ def ingest(df: DataFrame, path: str, force: bool = False) -> None:
     df.write.mode("overwrite" if force else "ignore").parquet(path)
 
 
+def download(spark: SparkSession, source: str, folder: str, names: tuple[str, ...] = CONFIGS, force: bool = False) -> dict[str, str]:
+    """Fetch the shards of each table from ``source`` (a folder of folders, on any file system) into one table each.
+
+    Gives the path of each table. Those that are there already stay unless ``force``.
+    """
+    out = {n: f"{folder}/{n}.parquet" for n in names}
+    for n, path in out.items():
+        if force or not exists(spark, path):
+            ingest(read_shards(spark, f"{source}/{n}"), path, force)
+    return out
+
+
+def local_table(spark: SparkSession, source: str, folder: str, name: str) -> DataFrame:
+    """One raw table, fetched first if it isn't there."""
+    return spark.read.parquet(download(spark, source, folder, (name,))[name])
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
@@ -54,6 +71,28 @@ def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
     df.write.mode("append" if append else "overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def write_keyed(df: DataFrame, key: str, path: str) -> None:
+    """One JSON document: an object with a member per row of ``df``, named by its key as a string.
+
+    For a chosen few documents: the whole is one line of text, put together in one task.
+    """
+    e = F.struct(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*(c for c in df.columns if c != key)), {"ignoreNullFields": "false"}).alias("value"))
+    member = lambda x: F.concat(F.to_json(F.array(x["key"])).substr(F.lit(2), F.length(F.to_json(F.array(x["key"]))) - 2), F.lit(": "), x["value"])
+    doc = df.filter(F.col(key).isNotNull()).agg(F.array_sort(F.collect_list(e)).alias("all"))
+    doc.select(F.concat(F.lit("{"), F.array_join(F.transform("all", member), ",\n"), F.lit("}")).alias("value")).write.mode("overwrite").text(path)
+
+
+def jsonl_counts(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """``kind, rows`` of the JSON lines of a file by one of their members; lines that aren't JSON objects count as malformed."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], "kind string, rows long")
+    line = F.try_parse_json("value")
+    ok = F.coalesce(F.schema_of_variant(line).startswith("OBJECT"), F.lit(False))
+    t = spark.read.text(path).filter(F.trim("value") != "")
+    named = F.coalesce(F.try_variant_get(line, f"$.{kind}", "string"), F.lit("none"))
+    return t.groupBy(F.when(ok, named).otherwise("malformed").alias("kind")).agg(F.count("*").alias("rows"))
+
+
 def write_all(tables: dict[str, DataFrame], folder: str) -> None:
     """Several tables of one run."""
     for name, df in tables.items():

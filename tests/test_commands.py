@@ -1,5 +1,6 @@
 """The stages from the command line, providers, and the match debugger."""
 
+import json
 import os
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from normspark.__main__ import main
 from normspark.operators import debug, relations
-from normspark.sources import providers
+from normspark.sources import files, providers
 
 D = "/root/testdata/sf0.001"
 
@@ -31,9 +32,48 @@ def test_stages(spark, tmp_path, capsys):
     assert main(["keyword", "--input-dir", D, "--output-dir", out, "--keywords-file", str(tmp_path / "k"), "--limit", "3"], spark) == 0
     assert spark.read.parquet(f"{out}/metadata.parquet").count() == 3
     assert main(["sample", *args, "--n", "2"], spark) == 0 and spark.read.json(f"{out}/sample").count() >= 2
+    one = "".join(r["value"] for r in spark.read.text(f"{out}/sample_document", wholetext=True).collect())
+    assert len(json.loads(one)) == 2
+    assert spark.read.json(f"{out}/component_textunit_map").count() > 0 and os.path.exists(f"{out}/action_links")
+    assert main(["report", *args, "--sample", "5", "--out", f"{out}/report"], spark) == 0
+    r = spark.read.json(f"{out}/report")
+    assert r.filter("section = 'format'").agg(F.sum("value")).first()[0] == 5 and r.filter("section = 'fallback'").count() == 1
+    assert main(["load", *args, "--max-nodes", "50", "--max-edges", "10"], spark) == 0
+    left = sum(spark.read.parquet(f"{out}/load_{n}").count() for n in ("norms", "components", "text_units", "cache_units", "actions"))
+    edges = sum(spark.read.parquet(f"{out}/{n}").count() for n in ("edge_contains", "edge_has_textunit", "edge_action", "edge_relation"))
+    assert left == 50 and edges == 10
+    broken = spark.read.parquet(f"{out}/embedded").limit(3).select("unit_id", F.lit("quota").alias("error"), F.current_timestamp().alias("timestamp"))
+    files.write_jsonl(broken, f"{out}/embed_errors")
+    assert main(["retry", *args], spark) == 0 and spark.read.parquet(f"{out}/embedded").count() == k and not os.path.exists(f"{out}/embed_errors")
+    a, b = (r["norm_id"] for r in n.orderBy("norm_id").limit(2).collect())
+    assert main(["explain", *args, "--id-a", a, "--id-b", b], spark) == 0
     assert main(["clean", *args], spark) == 1 and os.path.exists(out) and main(["clean", *args, "--force"], spark) == 0 and not os.path.exists(out)
 
 
+def test_download(spark, tmp_path):
+    src, to = f"{tmp_path}/src", f"{tmp_path}/raw"
+    spark.range(3).write.mode("append").parquet(f"{src}/metadata")
+    spark.range(2).withColumn("new", F.lit("x")).write.mode("append").parquet(f"{src}/metadata")
+    spark.range(5).write.mode("append").parquet(f"{src}/content")
+    args = ["--source", src, "--input-dir", to]
+    assert main(["download", *args, "--configs", "metadata"], spark) == 0
+    assert spark.read.parquet(f"{to}/metadata.parquet").count() == 5 and "new" in spark.read.parquet(f"{to}/metadata.parquet").columns
+    spark.range(1).write.mode("append").parquet(f"{src}/metadata")
+    main(["download", *args, "--configs", "metadata"], spark)
+    assert spark.read.parquet(f"{to}/metadata.parquet").count() == 5  # there already
+    main(["extract", *args, "--configs", "metadata"], spark)
+    assert spark.read.parquet(f"{to}/metadata.parquet").count() == 6
+    assert files.local_table(spark, src, to, "content").count() == 5
+
+
+def test_json_counts_and_documents(spark, tmp_path):
+    (tmp_path / "x.jsonl").write_text('{"type": "a"}\n{"type": "b"}\n{"type": "a", "n": 1}\n{"n": 1}\nnot json\n\n[1]\n')
+    got = {r["kind"]: r["rows"] for r in files.jsonl_counts(spark, f"{tmp_path}/x.jsonl", "type").collect()}
+    assert got == {"a": 2, "b": 1, "none": 1, "malformed": 2} and files.jsonl_counts(spark, f"{tmp_path}/no", "type").count() == 0
+    files.write_keyed(spark.createDataFrame([(7, 'a "b"', None), (None, "x", 1)], "id int, t string, n int"), "id", f"{tmp_path}/doc")
+    assert json.loads("".join(r["value"] for r in spark.read.text(f"{tmp_path}/doc", wholetext=True).collect())) == {"7": {"t": 'a "b"', "n": None}}
+
+
 def test_pacing_and_patience():
     now, slept = [0.0], []
 

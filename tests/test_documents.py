@@ -182,3 +182,36 @@ def test_library_stands_without_the_corpus_package():
             for n in names:
                 if n.endswith(".py"):
                     assert not re.search(r"normspark\.llm|from \.+llm", open(os.path.join(folder, n)).read()), n
+
+
+PAGES = [
+    ("<table><tr><th>Tên</th><th>Mức</th></tr><tr><td>a</td><td>1</td></tr><tr><td>b</td><td></td></tr></table>", "Bảng [Tên | Mức]:\nTên: a, Mức: 1\nTên: b, Mức: "),
+    ("<table><tr><th colspan='2'>Cha</th><th rowspan='2'>Kia</th></tr><tr><td>x</td><td>y</td></tr><tr><td>1</td><td>2</td><td>3</td></tr></table>", "Bảng [Cha > x | Cha > y | Kia]:\nCha > x: 1, Cha > y: 2, Kia: 3"),
+    ("<p>Một</p><table><tr><td> </td></tr></table><p>Hai.......... ba</p>", "Một\nHai ba"),
+    ("<table><tr><td>Tên</td></tr><tr><td rowspan=2>v</td></tr><tr></tr></table>", "Bảng [Tên]:\nTên: v\nTên: v"),
+    ("<table><tr><td colspan=2>a</td></tr><tr><td colspan=2>b</td></tr></table>", "Bảng [a | a]:\na: b, a: b"),
+    ("<table><tr><td colspan=x>a</td><td rowspan=2>c</td></tr><tr><td>1</td></tr><tr><td>2</td><td>d</td></tr></table>", "Bảng [a | c]:\na: 1, c: c\na: 2, c: d"),
+    ("<table><tr><td><table><tr><td>trong</td></tr></table></td></tr></table>", "Bảng [trong]:"),
+    ("<table><tr><td><img src='file:///C:/x/clip_image001.png'></td><td>chữ</td></tr></table>sau", "sau"),
+    ("", ""),
+]
+
+
+def test_pages_with_tables():
+    for page, want in PAGES:
+        assert H.convert(page) == want, page
+
+
+def test_markdown_tables():
+    md = "a\n| Tên | [Mức](x) |\n|---|:-:|\n| a<br>b | |\n| - | - |\n\n| |\n|  |\nz"
+    assert H.tables_to_prose(md).split("\n") == ["a", "Bảng [Tên | Mức]:", "Tên: a b, Mức: ", "", "z"]
+    assert H.tables_to_prose("| ![](file:///C:/clip_image1.png) | chữ |\nsau") == "sau"
+
+
+def test_lines_split_at_headers(spark):
+    lines = {
+        "Mở đầu. Điều 2. Nội dung": "Mở đầu. |Điều 2. Nội dung", "quy định tại Điều 5. Hết": "quy định tại Điều 5. Hết", "Điều 2. 1. Thu ngân sách": "Điều 2.| 1. Thu ngân sách", "Điều 1. Phạm vi": "Điều 1. Phạm vi",
+        "kín.Điều 3 khác": "kín.|Điều 3 khác", "theo Chương II và Mục 3": "theo Chương II và |Mục 3", "A Phần I B Chương II C": "A |Phần I B |Chương II C", "  ": "",
+    }
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    assert {r["line"]: r["p"] for r in df.select("line", F.array_join(X.split_at_headers(F.col("line")), "|").alias("p")).collect()} == lines
