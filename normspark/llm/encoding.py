@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from normspark.llm.text import both
-from normspark.llm.vietnamese import LETTERS, is_syllable
+from normspark.llm.vietnamese import LETTERS, beyond, is_syllable
 from normspark.operators.records import latest
 from normspark.session import cut, release, table
 
@@ -199,7 +199,9 @@ def repair(text: str, chain: str) -> str | None:
 def suspicious(c: Column) -> Column:
     """Whether a value can be garbled at all: a character outside plain Vietnamese text, a mark within a word, or an entity,
     which may stand for any character (but for those that markup itself needs)."""
-    return c.rlike(rf"[^\x00-\x7f{LETTERS}]|\?\p{{L}}|&(?!(?:amp|lt|gt|quot|apos|nbsp);)(?:[A-Za-z]|#)")
+    asked = c.contains("?") & c.rlike(r"\?\p{L}")
+    entity = c.contains("&") & c.rlike(r"&(?!(?:amp|lt|gt|quot|apos|nbsp);)(?:[A-Za-z]|#)")
+    return beyond(c, r"\x00-\x7f") | asked | entity
 
 
 def _seen(text: str, is_html: bool) -> str:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from normspark.llm.encoding import garbled_units, pools
 from normspark.llm.text import text_units
-from normspark.llm.vietnamese import LETTERS
+from normspark.llm.vietnamese import LETTER_CLASS, LETTERS, beyond
 from normspark.operators.records import latest
 from normspark.session import cut, table
 
@@ -48,7 +48,7 @@ _FOREIGN = re.compile("[" + "".join(ALIKE) + "".join(NEARLY) + "]")
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ʯḀ-ỿ]")
 _TOKEN = re.compile(f"[\\w\u0300-\u036f{IGNORED}]+")
 _ODD = re.compile(rf"[^\x20-\x7e\n\r{LETTERS}]")
-_PLAIN_WORD = rf"[a-zA-Z{LETTERS}]+"
+_PLAIN_WORD = rf"[a-zA-Z{LETTER_CLASS}]+"
 #: What an edit of the automaton costs.
 FREE, WEIGHT = 0, 1
 
@@ -131,7 +131,7 @@ def consistent(text: str, spell: Callable[[str], str]) -> str:
 
 
 def odd(c: Column) -> Column:
-    return c.rlike(rf"[^\x20-\x7e\n\r{LETTERS}]")
+    return beyond(c, r"\x20-\x7e\n\r")
 
 
 _TOKENS = "source_table string, key string, token string"
@@ -248,7 +248,7 @@ def p6_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records whose text differs from its consistent form, garbled ones left out."""
     # what is neither garbled nor unusual needs no further look: the rest is small and is read twice
-    u = cut(text_units(spark, sf_dir, lambda c: odd(c) | c.rlike(r"\?\p{L}")).filter("text is not null"), "unusual")
+    u = cut(text_units(spark, sf_dir, lambda c: odd(c) | (c.contains("?") & c.rlike(r"\?\p{L}"))).filter("text is not null"), "unusual")
     g = garbled_units(u, pools(spark, sf_dir)).select(F.lit("text_unit").alias("source_table"), "key")
     n = changed(u.select(F.lit("text_unit").alias("source_table"), "key", "text").unionByName(_other(spark, sf_dir)), _texts(spark, sf_dir))
     return n.join(g, ["source_table", "key"], "left_anti").select("source_table", F.col("key").alias("record_key"))

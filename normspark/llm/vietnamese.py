@@ -6,6 +6,8 @@ import re
 import unicodedata
 from functools import lru_cache
 
+from pyspark.sql import Column
+
 #: All lower-case letters with marks, from the base letters and the five tone marks.
 TONES = "\u0300\u0301\u0303\u0309\u0323"
 BASES = "aăâeêioôơuưy"
@@ -13,6 +15,29 @@ LOWER = "".join(unicodedata.normalize("NFC", b + t) for b in BASES for t in ("",
 MARKED = "".join(c for c in LOWER if not c.isascii()) + "đ"
 LETTERS = MARKED + MARKED.upper()
 
+
+def ranges(chars: str) -> str:
+    """The same characters for a class of a pattern, runs of code points as ranges: Java tries the parts of a class in turn."""
+    out: list[list[str]] = []
+    for c in sorted(set(chars)):
+        if out and ord(out[-1][1]) + 1 == ord(c):
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(a if a == b else f"{a}-{b}" for a, b in out)
+
+
+#: LETTERS for the patterns of the JVM.
+LETTER_CLASS = ranges(LETTERS)
+
+
+def beyond(text: Column, plain: str) -> Column:
+    """Whether ``text`` has a character that is neither in the class ``plain`` nor a Vietnamese letter.
+
+    The text is read once from its start without a way back, which takes a tenth of what a search for the character takes.
+    """
+    return text.rlike(rf"\A[{plain}{LETTER_CLASS}]*+(?s:.)")
+
 # The initials, the vowel groups and the finals of a written syllable.
 ONSET = "b|ch|c|d|đ|gh|gi|g|h|kh|k|l|m|ngh|ng|nh|n|ph|p|qu|r|s|th|tr|t|v|x"
 NUCLEUS = (

@@ -129,6 +129,15 @@ def test_syllables(w, ok):
     assert is_syllable(w) is ok
 
 
+def test_ranges_hold_the_same_letters():
+    import re
+
+    from normspark.llm import vietnamese as V
+
+    assert V.ranges("cabxz") == "a-cxz"
+    assert set(re.findall(f"[{V.LETTER_CLASS}]", "".join(map(chr, range(0x2FFF))))) == set(V.LETTERS)
+
+
 def test_one_form_for_what_looks_alike(spark):
     words = {w: 5 for w in "Khoản Điều Chương Phần XVIII quy định tại hướng dẫn khoản I II bình sa".split()}
     root = K.trie(words)
