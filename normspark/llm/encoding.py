@@ -225,10 +225,15 @@ def _start() -> list[float]:
     return [0.5] + [0.5 / (len(CHAINS) - 1)] * (len(CHAINS) - 1)
 
 
+def _let(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def _posterior(odds: Column, share: Column) -> Column:
+    part = lambda e: _let(F.aggregate(e, F.lit(0.0), lambda a, b: a + b), lambda all_: F.transform(e, lambda x: x / all_))
     z = F.zip_with(odds, share, lambda o, s: o + F.log(s))
-    e = F.transform(z, lambda x: F.exp(x - F.array_max(z)))
-    return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b))
+    return _let(z, lambda z: _let(F.array_max(z), lambda most: _let(F.transform(z, lambda x: F.exp(x - most)), part)))
 
 
 def _judged(measured: DataFrame, shares: DataFrame | None) -> DataFrame:
