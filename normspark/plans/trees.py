@@ -38,6 +38,38 @@ def parse_roundtrip(s, d):
     return c.select("norm_id", "comp_id", "level", "rank", "citation", "order_index", "parent_comp_id", "title_text", "raw_text")
 
 
+def documents_of_all_levels(s, d):
+    """A document for each region: parts, chapters, sections, articles, clauses, points, an annex; text of several lines, and
+    article numbers of other documents at the start of a line."""
+    n = table(s, d, "nation").select("n_nationkey", "n_name", F.col("n_regionkey").alias("doc")).withColumn("p", F.row_number().over(Window.partitionBy("doc").orderBy("n_nationkey")))
+    c = table(s, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    c = c.withColumn("ch", F.dense_rank().over(Window.partitionBy("n_nationkey").orderBy("c_mktsegment"))).withColumn("mu", F.col("c_custkey") % 2 + 1)
+    c = c.withColumn("ar", F.row_number().over(Window.partitionBy("doc").orderBy("p", "ch", "mu", "c_custkey"))).withColumn("top", F.max("ar").over(Window.partitionBy("doc")))
+    key, lit, col = F.col("c_custkey").cast("string"), F.lit, F.col
+    at = lambda *k: [(x if not isinstance(x, int) else lit(x)).cast("int").alias(name) for x, name in zip(k, ("p", "ch", "mu", "ar", "kh", "di", "li"))]
+    parts = n.select("doc", *at(col("p"), 0, 0, 0, 0, 0, 0), F.concat(lit("Phần thứ "), "p", lit(". "), "n_name").alias("line"))
+    chapters = c.select("doc", *at(col("p"), col("ch"), 0, 0, 0, 0, 0), F.concat(lit("CHƯƠNG "), "ch", lit(" - "), "c_mktsegment").alias("line")).distinct()
+    sections = c.select("doc", *at(col("p"), col("ch"), col("mu"), 0, 0, 0, 0), F.concat(lit("Mục "), "mu", lit(": Quy định chung")).alias("line")).distinct()
+    articles = c.select("doc", *at(col("p"), col("ch"), col("mu"), col("ar"), 0, 0, 0), F.concat(lit("  điều "), "ar", lit(". Khách hàng "), key).alias("line"))
+    row = lambda line, **k: F.struct(*(lit(v).alias(n) for n, v in k.items()), line.alias("line"))
+    within = F.array(
+        row(F.concat(lit("1. Nghĩa vụ của "), key, lit(" gồm:")), kh=1, di=0, li=0),
+        row(F.concat(lit("a) nộp "), key), kh=1, di=1, li=0), row(lit("b) báo cáo"), kh=1, di=2, li=0), row(F.concat(lit("  hằng tháng "), key), kh=1, di=2, li=1), row(lit("hoặc hằng năm"), kh=1, di=2, li=2),
+        row(lit("2. Thi hành ngay"), kh=2, di=0, li=0), row(F.when((col("ar") % 25 == 12) & (col("ar") < col("top")), F.concat(lit("Điều "), col("ar") + 500, lit(" của luật khác"))), kh=2, di=0, li=1),
+    )
+    rest = c.select("doc", "p", "ch", "mu", "ar", F.explode(within).alias("x")).select("doc", *at(col("p"), col("ch"), col("mu"), col("ar"), col("x.kh"), col("x.di"), col("x.li")), "x.line").filter("line is not null")
+    ends = F.array(row(lit("Căn cứ Hiến pháp"), p=0, li=0), row(lit("PHỤ LỤC số II"), p=999, li=0), row(lit("Biểu mẫu kèm theo"), p=999, li=1))
+    ends = n.select("doc").distinct().select("doc", F.explode(ends).alias("x")).select("doc", *at(col("x.p"), 0, 0, 0, 0, 0, col("x.li")), "x.line")
+    lines = parts.unionByName(chapters).unionByName(sections).unionByName(articles).unionByName(rest).unionByName(ends)
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "ch", "mu", "ar", "kh", "di", "li", "line"))), lambda x: x["line"]), "\n")
+    return lines.groupBy(F.col("doc").cast("string").alias("norm_id")).agg(body.alias("markdown"))
+
+
+def parse_levels(s, d):
+    c = tree.components(documents_of_all_levels(s, d))
+    return c.select("norm_id", "comp_id", "level", "rank", "citation", "order_index", "parent_comp_id", "title_text", "raw_text")
+
+
 def accumulated_text(s, d):
     docs = cut(documents(s, d), "documents")
     norms = docs.select("norm_id", F.concat(F.lit("Văn bản "), "norm_id").alias("title"))
@@ -70,6 +102,28 @@ f AS (SELECT norm_id, norm_id || '__c' || k AS comp_id, level, rank, citation, C
   CASE WHEN coalesce(nxt, 0) <= rank THEN title_text || chr(10) END AS raw_text FROM t)
 """
 
+_LEVELS = """
+n AS (SELECT n_nationkey, n_name, n_regionkey AS doc, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS p FROM nation),
+c0 AS (SELECT c_custkey, c_mktsegment, doc, p, dense_rank() OVER (PARTITION BY n_nationkey ORDER BY c_mktsegment) AS ch, c_custkey % 2 + 1 AS mu FROM customer JOIN n ON c_nationkey = n_nationkey),
+c AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY p, ch, mu, c_custkey) AS ar FROM c0),
+l AS (
+  SELECT doc, p, 0 AS ch, 0 AS mu, 0 AS ar, 0 AS kh, 0 AS di, 'Phan' AS level, 0 AS rank, 'Phần ' || p AS citation, n_name AS title_text, '' AS more FROM n
+  UNION ALL SELECT DISTINCT doc, p, ch, 0, 0, 0, 0, 'Chuong', 1, 'Chương ' || ch, c_mktsegment, '' FROM c
+  UNION ALL SELECT DISTINCT doc, p, ch, mu, 0, 0, 0, 'Muc', 2, 'Mục ' || mu, 'Quy định chung', '' FROM c
+  UNION ALL SELECT doc, p, ch, mu, ar, 0, 0, 'Dieu', 4, 'Điều ' || ar, 'Khách hàng ' || c_custkey, '' FROM c
+  UNION ALL SELECT doc, p, ch, mu, ar, 1, 0, 'Khoan', 5, 'Khoản 1', 'Nghĩa vụ của ' || c_custkey || ' gồm', '' FROM c
+  UNION ALL SELECT doc, p, ch, mu, ar, 1, 1, 'Diem', 6, 'Điểm a', 'nộp ' || c_custkey, '' FROM c
+  UNION ALL SELECT doc, p, ch, mu, ar, 1, 2, 'Diem', 6, 'Điểm b', 'báo cáo', 'hằng tháng ' || c_custkey || chr(10) || 'hoặc hằng năm' || chr(10) FROM c
+  UNION ALL SELECT doc, p, ch, mu, ar, 2, 0, 'Khoan', 5, 'Khoản 2', 'Thi hành ngay', CASE WHEN ar % 25 = 12 AND ar < (SELECT max(ar) FROM c q WHERE q.doc = c.doc) THEN 'Điều ' || (ar + 500) || ' của luật khác' || chr(10) ELSE '' END FROM c
+  UNION ALL SELECT DISTINCT doc, 999, 0, 0, 0, 0, 0, 'PhuLuc', 0, 'Phụ lục II', CAST(NULL AS VARCHAR), 'Biểu mẫu kèm theo' || chr(10) FROM n),
+k AS (SELECT *, CAST(doc AS VARCHAR) AS norm_id, row_number() OVER (PARTITION BY doc ORDER BY p, ch, mu, ar, kh, di) AS k FROM l),
+t AS (SELECT *, lead(rank) OVER (PARTITION BY doc ORDER BY k) AS nxt,
+  CASE level WHEN 'Chuong' THEN max(CASE WHEN level = 'Phan' THEN k END) OVER w WHEN 'Muc' THEN max(CASE WHEN level = 'Chuong' THEN k END) OVER w WHEN 'Dieu' THEN max(CASE WHEN level = 'Muc' THEN k END) OVER w
+    WHEN 'Khoan' THEN max(CASE WHEN level = 'Dieu' THEN k END) OVER w WHEN 'Diem' THEN max(CASE WHEN level = 'Khoan' THEN k END) OVER w END AS up FROM k WINDOW w AS (PARTITION BY doc ORDER BY k)),
+f AS (SELECT *, CASE WHEN coalesce(nxt, 0) <= rank THEN coalesce(title_text || chr(10), '') || more END AS own FROM t),
+g AS (SELECT *, min(CASE WHEN own IS NOT NULL THEN k END) OVER (PARTITION BY doc) AS first FROM f)
+"""
+
 # ---- rules on the component table -------------------------------------------------------------------------------------------
 
 
@@ -242,7 +296,7 @@ def pipeline_edges(s, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    parse_roundtrip, accumulated_text, component_index, round_trip_repaired, dedup_winners, deduplicated, same_titles, duplicate_citations, structure_issues, article_gaps, sole_clauses, letter_gaps, level_jumps, empty_groups,
+    parse_roundtrip, parse_levels, accumulated_text, component_index, round_trip_repaired, dedup_winners, deduplicated, same_titles, duplicate_citations, structure_issues, article_gaps, sole_clauses, letter_gaps, level_jumps, empty_groups,
     length_outliers, single_long_article, small_leaves, article_resets, action_links, amendment_citations, extraction_outcomes, amendment_prefilter, pipeline_components, pipeline_units, pipeline_warnings, pipeline_edges,
 )}
 
@@ -269,6 +323,7 @@ ORACLES = {
       SELECT 'C2' AS rule, 'warn' AS severity, count(*) AS n FROM s HAVING count(*) > 0
       UNION ALL SELECT 'E1', 'bug', count(*) FROM f WHERE level = 'Dieu' HAVING count(*) > 0
       UNION ALL SELECT 'D1', 'warn', count(*) FROM t2 JOIN md USING (norm_id, level) WHERE len > med + 6 * greatest(mad, 1) HAVING count(*) > 0""",
+    "parse_levels": f"WITH {_LEVELS} SELECT norm_id, norm_id || '__c' || k AS comp_id, level, rank, citation, CAST(k AS INTEGER) AS order_index, norm_id || '__c' || up AS parent_comp_id, title_text, CASE WHEN k = first THEN 'Căn cứ Hiến pháp' || chr(10) || own ELSE own END AS raw_text FROM g",
     "dedup_winners": f"WITH {_COMPONENT} SELECT comp_id, norm_id, citation FROM (SELECT *, row_number() OVER (PARTITION BY norm_id, parent_comp_id, citation ORDER BY {_SCORE} DESC, order_index, comp_id) AS r FROM x) WHERE r = 1",
     "deduplicated": f"WITH {_COMPONENT}, r AS (SELECT *, row_number() OVER (PARTITION BY norm_id, parent_comp_id, citation ORDER BY {_SCORE} DESC, order_index, comp_id) AS place FROM x) SELECT comp_id, parent_comp_id, citation FROM r WHERE place = 1 AND NOT EXISTS (SELECT 1 FROM r q WHERE q.place > 1 AND q.norm_id = r.norm_id AND q.comp_id = r.parent_comp_id)",
     "same_titles": f"WITH {_COMPONENT} SELECT norm_id, level, title_text, count(*) AS n, min(comp_id) AS first FROM x WHERE trim(coalesce(title_text, '')) <> '' GROUP BY 1, 2, 3 HAVING count(*) > 1",
