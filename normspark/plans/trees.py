@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from normspark import schemas as S
 from normspark.functions import text as X
-from normspark.operators import hierarchy, relations, repair, tree, units
+from normspark.operators import hierarchy, quality, relations, repair, tree, units
 from normspark.operators.records import latest
 from normspark.plans import pipeline
 from normspark.session import cut, table
@@ -209,11 +209,44 @@ def article_resets(s, d):
     return repair._with_resets(_components(s, d)).filter("tail").select("comp_id", F.col("n").cast("long").alias("n"))
 
 
+def _shifted(s, d):
+    """The components with numbers that jump and repeat, so that every rule has something to find."""
+    at = F.col("order_index")
+    c = F.when(F.col("level") == "Dieu", F.concat(F.lit("Điều "), at * 7 % 11 + 1)).when((F.col("level") == "Khoan") & (at % 5 == 0), F.concat(F.lit("Điều "), at % 4, F.lit(" Khoản 2")))
+    return _components(s, d).withColumn("citation", c.otherwise(F.concat_ws(" ", "level", at % 3)))
+
+
+def shifted_duplicates(s, d):
+    c = repair.issues(_shifted(s, d)).filter("issue_type = 'dup_citation'")
+    return c.select("norm_id", "comp_id", F.col("details")["parent_id"].alias("parent_id"), F.col("details")["citation"].alias("citation"), F.col("details")["count"].cast("long").alias("n"))
+
+
+def shifted_issues(s, d):
+    return repair.issues(_shifted(s, d)).groupBy("issue_type", "severity").agg(F.count("*").alias("n"))
+
+
+def shifted_resets(s, d):
+    return repair._with_resets(_shifted(s, d)).filter("tail").select("comp_id", F.col("n").cast("long").alias("n"))
+
+
+def shifted_deduplicated(s, d):
+    return repair.deduplicated(_shifted(s, d)).select("comp_id", "parent_comp_id", "citation")
+
+
+def shifted_without_ghosts(s, d):
+    return repair.without_ghosts(_shifted(s, d)).select("comp_id", "citation")
+
+
+def shifted_reversed(s, d):
+    return quality.reversed_citations(_shifted(s, d))
+
+
 _COMPONENT = """
 k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY comp_id ORDER BY updated_at DESC NULLS LAST) AS rn FROM component WHERE comp_id IS NOT NULL) WHERE rn = 1),
 tu AS (SELECT regexp_replace(unit_id, '__tu$', '') AS u, regexp_replace(accumulated_text, '^[^\\n]*\\n?', '') AS raw_text FROM (SELECT *, row_number() OVER (PARTITION BY unit_id ORDER BY updated_at DESC) AS rn FROM text_unit WHERE type = 'noi_dung') WHERE rn = 1),
 x AS (SELECT k.*, p.level AS plevel, p.rank AS prank, tu.raw_text FROM k LEFT JOIN k p ON p.comp_id = k.parent_comp_id LEFT JOIN tu ON tu.u = k.comp_id)
 """
+_SHIFTED = _COMPONENT.replace("SELECT k.*,", """SELECT k.* REPLACE (CASE WHEN k.level = 'Dieu' THEN 'Điều ' || (k.order_index * 7 % 11 + 1) WHEN k.level = 'Khoan' AND k.order_index % 5 = 0 THEN 'Điều ' || (k.order_index % 4) || ' Khoản 2' ELSE concat_ws(' ', k.level, k.order_index % 3) END AS citation),""")
 _SCORE = "CASE WHEN raw_text LIKE 'Bảng [%' THEN length(raw_text) * 0.001 ELSE coalesce(length(raw_text), 0) END"
 _NUM = r"TRY_CAST(nullif(translate(regexp_extract(citation, '(?i)Điều[\s\x{a0}\x{2000}-\x{200a}\x{202f}\x{3000}]+([0-9０-９]+)', 1), '０１２３４５６７８９', '0123456789'), '') AS INTEGER)"
 _RESET = f"""
@@ -297,7 +330,7 @@ def pipeline_edges(s, d):
 
 QUERIES = {f.__name__: f for f in (
     parse_roundtrip, parse_levels, accumulated_text, component_index, round_trip_repaired, dedup_winners, deduplicated, same_titles, duplicate_citations, structure_issues, article_gaps, sole_clauses, letter_gaps, level_jumps, empty_groups,
-    length_outliers, single_long_article, small_leaves, article_resets, action_links, amendment_citations, extraction_outcomes, amendment_prefilter, pipeline_components, pipeline_units, pipeline_warnings, pipeline_edges,
+    length_outliers, single_long_article, small_leaves, article_resets, shifted_duplicates, shifted_issues, shifted_resets, shifted_deduplicated, shifted_without_ghosts, shifted_reversed, action_links, amendment_citations, extraction_outcomes, amendment_prefilter, pipeline_components, pipeline_units, pipeline_warnings, pipeline_edges,
 )}
 
 _AMEND = r"""
@@ -324,6 +357,17 @@ ORACLES = {
       UNION ALL SELECT 'E1', 'bug', count(*) FROM f WHERE level = 'Dieu' HAVING count(*) > 0
       UNION ALL SELECT 'D1', 'warn', count(*) FROM t2 JOIN md USING (norm_id, level) WHERE len > med + 6 * greatest(mad, 1) HAVING count(*) > 0""",
     "parse_levels": f"WITH {_LEVELS} SELECT norm_id, norm_id || '__c' || k AS comp_id, level, rank, citation, CAST(k AS INTEGER) AS order_index, norm_id || '__c' || up AS parent_comp_id, title_text, CASE WHEN k = first THEN 'Căn cứ Hiến pháp' || chr(10) || own ELSE own END AS raw_text FROM g",
+    "shifted_deduplicated": f"WITH {_SHIFTED}, r AS (SELECT *, row_number() OVER (PARTITION BY norm_id, parent_comp_id, citation ORDER BY {_SCORE} DESC, order_index, comp_id) AS place FROM x) SELECT comp_id, parent_comp_id, citation FROM r WHERE place = 1 AND NOT EXISTS (SELECT 1 FROM r q WHERE q.place > 1 AND q.norm_id = r.norm_id AND q.comp_id = r.parent_comp_id)",
+    "shifted_issues": f"""WITH {_SHIFTED}, {_RESET}
+      SELECT 'dup_citation' AS issue_type, 'warn' AS severity, count(*) AS n FROM (SELECT 1 FROM x GROUP BY norm_id, parent_comp_id, citation HAVING count(*) > 1) HAVING count(*) > 0
+      UNION ALL SELECT 'broken_parent', 'error', count(*) FROM x WHERE parent_comp_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM k p WHERE p.comp_id = x.parent_comp_id AND p.norm_id = x.norm_id) HAVING count(*) > 0
+      UNION ALL SELECT 'ghost_citation', 'warn', count(*) FROM (SELECT DISTINCT norm_id, parent_comp_id FROM r WHERE n < prev) HAVING count(*) > 0""",
+    "shifted_resets": f"WITH {_SHIFTED}, {_RESET} SELECT comp_id, CAST(n AS BIGINT) AS n FROM r WHERE tail = 1",
+    "shifted_duplicates": f"WITH {_SHIFTED} SELECT norm_id, min(comp_id) AS comp_id, parent_comp_id AS parent_id, citation, count(*) AS n FROM x GROUP BY norm_id, parent_comp_id, citation HAVING count(*) > 1",
+    "shifted_reversed": f"WITH {_SHIFTED} SELECT comp_id, citation FROM x WHERE citation LIKE 'Điều _ Khoản%'",
+    "shifted_without_ghosts": f"""WITH {_SHIFTED}, {_RESET}, h AS (SELECT *, coalesce(prank, -1) AS depth, min(coalesce(prank, -1)) OVER (PARTITION BY norm_id, citation) AS least FROM r),
+      g AS (SELECT norm_id, comp_id FROM h WHERE tail = 1 AND least < depth)
+      SELECT comp_id, citation FROM x WHERE comp_id NOT IN (SELECT comp_id FROM g) AND NOT EXISTS (SELECT 1 FROM g WHERE g.norm_id = x.norm_id AND g.comp_id = x.parent_comp_id)""",
     "dedup_winners": f"WITH {_COMPONENT} SELECT comp_id, norm_id, citation FROM (SELECT *, row_number() OVER (PARTITION BY norm_id, parent_comp_id, citation ORDER BY {_SCORE} DESC, order_index, comp_id) AS r FROM x) WHERE r = 1",
     "deduplicated": f"WITH {_COMPONENT}, r AS (SELECT *, row_number() OVER (PARTITION BY norm_id, parent_comp_id, citation ORDER BY {_SCORE} DESC, order_index, comp_id) AS place FROM x) SELECT comp_id, parent_comp_id, citation FROM r WHERE place = 1 AND NOT EXISTS (SELECT 1 FROM r q WHERE q.place > 1 AND q.norm_id = r.norm_id AND q.comp_id = r.parent_comp_id)",
     "same_titles": f"WITH {_COMPONENT} SELECT norm_id, level, title_text, count(*) AS n, min(comp_id) AS first FROM x WHERE trim(coalesce(title_text, '')) <> '' GROUP BY 1, 2, 3 HAVING count(*) > 1",
