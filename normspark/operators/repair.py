@@ -13,16 +13,32 @@ from normspark import schemas as S
 from normspark.functions import text as X
 from normspark.session import cut
 
-def _doc():
-    return Window.partitionBy("norm_id")
+def _asked(c: DataFrame, flag: Column, of: Column) -> DataFrame:
+    """``c`` with ``_flag``, what ``flag`` says of a component, and ``_any``: whether it says so of any component in ``of``.
+
+    A row goes out once for itself and once, without its columns, for each component it asks about. What is asked of one
+    component meets at its id, and answers meet at the one that asked: no row holds the ids of its document, and with the
+    document's rows together nothing is shuffled.
+    """
+    ask = lambda k, yes: F.struct(k.alias("k"), F.lit(yes).alias("asks"))
+    e = c.select("norm_id", F.col("comp_id").alias("_id"), F.coalesce(flag, F.lit(False)).alias("_said"), F.struct("*").alias("_row"), F.explode(F.concat(F.array(ask(F.col("comp_id"), False)), F.transform(of, lambda x: ask(x, True)))).alias("_x"))
+    mine = ~F.col("_x.asks")
+    e = e.select("norm_id", "_id", F.col("_x.k").alias("_k"), mine.alias("_mine"), F.when(mine, F.col("_said")).alias("_flag"), F.when(mine, F.col("_row")).alias("_row"))
+    e = e.withColumn("_told", F.max("_flag").over(Window.partitionBy("norm_id", "_k")))
+    e = e.withColumn("_any", F.coalesce(F.max(F.when(~F.col("_mine"), F.col("_told"))).over(Window.partitionBy("norm_id", "_id")), F.lit(False)))
+    return e.filter("_mine").select("_row.*", "_flag", "_any")
 
 
 def _without(c: DataFrame, bad: Column) -> DataFrame:
     """Components left when those marked ``bad`` go, with everything below them."""
-    c = c.withColumn("_bad", F.coalesce(bad, F.lit(False)))
-    c = c.withColumn("_gone", F.collect_set(F.when(F.col("_bad"), F.col("comp_id"))).over(_doc()))
-    above = F.transform("ancestors", lambda x: x["comp_id"])
-    return c.filter(~F.col("_bad") & ~F.arrays_overlap(above, F.col("_gone"))).drop("_bad", "_gone")
+    return _asked(c, bad, F.transform("ancestors", lambda x: x["comp_id"])).filter("not _flag and not _any").drop("_flag", "_any")
+
+
+def _with_parents_marked(c: DataFrame) -> DataFrame:
+    """``c`` with ``_parent``: whether a component of its document names it as parent."""
+    e = c.select("norm_id", F.struct("*").alias("_row"), F.explode(F.array(F.struct(F.col("comp_id").alias("k"), F.lit(True).alias("own")), F.struct(F.col("parent_comp_id").alias("k"), F.lit(False).alias("own")))).alias("_x"))
+    e = e.select("norm_id", F.col("_x.k").alias("_k"), F.col("_x.own").alias("_own"), F.when(F.col("_x.own"), F.col("_row")).alias("_row"))
+    return e.withColumn("_parent", F.max(~F.col("_own")).over(Window.partitionBy("norm_id", "_k"))).filter("_own").select("_row.*", "_parent")
 
 
 def deduplicated(c: DataFrame) -> DataFrame:
@@ -96,8 +112,7 @@ def _rule(d: DataFrame, rule: str, severity: Column | str, comp: Column, **detai
 
 def small_leaves_merged(c: DataFrame) -> tuple[DataFrame, DataFrame]:
     """D2: a leaf of fewer than 10 characters gives its text to its parent; the component stays. Components and rows of the fix."""
-    parents = F.collect_set("parent_comp_id").over(_doc())
-    c = c.withColumn("_small", F.coalesce(~F.array_contains(parents, F.col("comp_id")) & (F.length("raw_text") < S.SMALL_LEAF) & F.col("parent_comp_id").isNotNull(), F.lit(False)))
+    c = _with_parents_marked(c).withColumn("_small", F.coalesce(~F.col("_parent") & (F.length("raw_text") < S.SMALL_LEAF) & F.col("parent_comp_id").isNotNull(), F.lit(False))).drop("_parent")
     small = c.filter("_small")
     given = small.groupBy(F.col("norm_id").alias("_n"), F.col("parent_comp_id").alias("_p")).agg(F.array_sort(F.collect_list(F.struct("pos", "raw_text"))).alias("_t"))
     given = given.select("_n", "_p", F.regexp_replace(F.array_join(F.transform("_t", lambda x: x["raw_text"]), "\n"), r"^\n+", "").alias("_given"))
