@@ -135,13 +135,22 @@ def embed_unembeddable(s, d):
 
 
 def embed_resumed(s, d):
-    """After a job that embeds what is pending: how many units have a vector, by what they had before."""
+    """After a job that broke off half way and one that went on: how many units have a vector, by what they had before."""
     u = cut(_units(s, d), "units")
-    new = vector.embedded(vector.pending(u))
+    first = cut(vector.embedded(vector.pending(u).filter(F.xxhash64("unit_id") % 2 == 0)), "embedded")
+    new = first.unionByName(vector.embedded(vector.pending(u, first)))
     e = vector.with_embeddings(u, new).select("unit_id", "type", F.col("embedding").isNotNull().alias("now"))
     return e.groupBy("type", "now").agg(F.count("*").alias("n"))
 
 
+def embed_unknown_errors(s, d):
+    """Errors of units that are no longer there."""
+    u = cut(_units(s, d).select("unit_id", "error_log"), "units")
+    bad = u.filter("error_log is not null").select("unit_id")
+    _, gone = vector.retried(u, bad.unionByName(bad.select(F.concat(F.lit("gone-"), "unit_id").alias("unit_id"))))
+    return gone
+
+
 def embed_retry(s, d):
     """Units whose last attempt left an error, to be embedded again."""
     u = _units(s, d)
@@ -225,7 +234,7 @@ def fallback_share(s, d):
 
 QUERIES = {f.__name__: f for f in (
     contains_edges, has_textunit_edges, apply_to_edges, relation_edges, merged_norms, graph_counts, budget_trim, budget_trim_edges, orphans, ancestor_chains, vector_top_k, vector_top_k_after, vector_top_k_first, retrieve,
-    embed_pending, embed_unembeddable, embed_resumed, embed_retry, quality_report, quality_examples, leaf_coverage, two_ended_actions, short_units, reversed_citations, embedded_share, norm_reach, html_lines, html_tables, header_splits, fallback_share,
+    embed_pending, embed_unembeddable, embed_resumed, embed_retry, embed_unknown_errors, quality_report, quality_examples, leaf_coverage, two_ended_actions, short_units, reversed_citations, embedded_share, norm_reach, html_lines, html_tables, header_splits, fallback_share,
 )}
 
 _K = "k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY comp_id ORDER BY updated_at DESC NULLS LAST) AS rn FROM component WHERE comp_id IS NOT NULL) WHERE rn = 1)"
@@ -268,6 +277,7 @@ ORACLES = {
       t AS (SELECT * FROM n WHERE NOT isnan(s) ORDER BY s DESC, unit_id LIMIT 5) SELECT accumulated_text AS text, round(s, 6) AS score, m.title AS norm_title, k.citation FROM t JOIN k ON k.comp_id = regexp_replace(unit_id, '__tu(__p[0-9]+)?$', '') JOIN m USING (norm_id) WHERE type <> 'cache_action'""",
     "embed_pending": f"WITH {_U} SELECT unit_id FROM u WHERE type <> 'cache_action' AND embedding IS NULL AND {_STRIP} <> ''",
     "embed_unembeddable": f"WITH {_U} SELECT unit_id, 'empty text' AS error_log FROM u WHERE type <> 'cache_action' AND embedding IS NULL AND coalesce({_STRIP}, '') = ''",
+    "embed_unknown_errors": f"WITH {_U} SELECT 'gone-' || unit_id AS unit_id FROM u WHERE error_log IS NOT NULL",
     "embed_resumed": f"WITH {_U} SELECT type, embedding IS NOT NULL OR (type <> 'cache_action' AND coalesce({_STRIP}, '') <> '') AS now, count(*) AS n FROM u GROUP BY 1, 2",
     "embed_retry": f"WITH {_U} SELECT unit_id FROM u WHERE error_log IS NOT NULL",
     "quality_report": f"""WITH {_FLAGS}, c AS (SELECT count(*) AS total FROM v),

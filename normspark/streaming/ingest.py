@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from normspark.session import drop_path
 from normspark.sources.files import exists, upserted
 
 
@@ -16,22 +17,30 @@ def arriving(spark: SparkSession, folder: str, like: DataFrame, files_per_trigge
 
 def merge_into(stream: DataFrame, target: str, keys: list[str], at: str, checkpoint: str) -> StreamingQuery:
     """Upsert each batch into a table of versions: a batch is written to its own folder ``v=<batch>`` with all rows current
-    after it, so a batch that is run again overwrites only itself, and readers see whole versions."""
+    after it, so a batch that is run again overwrites only itself, and readers see whole versions. The version before stays
+    for such a batch and for readers, older ones are removed."""
     def one(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
         old = current(spark, target, n)
         upserted(old, batch, keys, F.col(at)).write.mode("overwrite").parquet(f"{target}/v={n}")
+        for v in versions(spark, target, n)[:-1]:
+            drop_path(spark, f"{target}/v={v}")
 
     return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def current(spark: SparkSession, target: str, before: int | None = None) -> DataFrame | None:
-    """The latest version of a merged table (before a batch), None where there is none."""
+def versions(spark: SparkSession, target: str, before: int | None = None) -> list[int]:
+    """The versions of a merged table (before a batch), oldest first."""
     if not exists(spark, target):
-        return None
+        return []
     p = spark._jvm.org.apache.hadoop.fs.Path(target)
     names = [f.getPath().getName() for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
-    got = sorted(int(x[2:]) for x in names if x.startswith("v=") and (before is None or int(x[2:]) < before))
+    return sorted(v for v in (int(x[2:]) for x in names if x.startswith("v=")) if before is None or v < before)
+
+
+def current(spark: SparkSession, target: str, before: int | None = None) -> DataFrame | None:
+    """The latest version of a merged table (before a batch), None where there is none."""
+    got = versions(spark, target, before)
     return spark.read.parquet(f"{target}/v={got[-1]}") if got else None
 
 
