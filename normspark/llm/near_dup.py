@@ -259,16 +259,30 @@ def _exact(least: float):
     return check
 
 
+def classed(s: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``s`` (id, key, fp, ...) with an id for each set, and ``id, first`` of the sets that several records have.
+
+    An id is 64 bits of a set's fingerprint. Where two sets share one, which a second hash of the fingerprint tells, their
+    records get other ids, until each id is of one set.
+    """
+    while True:
+        second = F.xxhash64("fp", F.lit(1))
+        c = cut(s.groupBy("id").agg(F.min("key").alias("first"), F.count("*").alias("n"), F.min(second).alias("low"), F.max(second).alias("high")).filter("n > 1"), "classes")
+        clash = c.filter("low <> high").select("id", F.lit(True).alias("clash"))
+        if not clash.limit(1).count():
+            return s.drop("fp"), c.select("id", "first")
+        s = cut(s.join(clash, "id", "left").withColumn("id", F.when(F.col("clash"), F.xxhash64("id", "fp")).otherwise(F.col("id"))).drop("clash"), "grams")
+
+
 def near_classes(records: DataFrame, run: int = 5, least: float = 0.8, least_words: int = 30, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """Membership ``source_table, key, id`` (equal shingle sets share an id) and pairs ``a, b, similarity`` of ids (a < b).
 
     Null, empty and short texts have no row. Repeated keys are taken as given (callers pass one row per key). Long texts
     are used whole. Equal texts never meet in the forest: their class is one row there, however many copies it has.
     """
-    s = cut(signed(records, run, least_words).withColumn("id", F.xxhash64("source_table", "fp")).drop("fp"), "grams")
+    s, first = classed(cut(signed(records, run, least_words).withColumn("id", F.xxhash64("source_table", "fp")), "grams"))
     member = s.select("source_table", "key", "id")
     # of equal sets the smallest key goes on; finding the others takes keys only, and of a hot class each is one short row
-    first = member.groupBy("id").agg(F.min("key").alias("first"), F.count("*").alias("n")).filter("n > 1")
     others = cut(member.join(first, "id").filter("key > first").select("source_table", "key"), "copies")
     reps = s.join(others, ["source_table", "key"], "left_anti")
     trees = lambda r: r.select("source_table", "id", "grams").mapInPandas(_forest, "prefix long, id long, s0 long, s1 long, s2 long, s3 long")

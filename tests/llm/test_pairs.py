@@ -91,6 +91,14 @@ def test_a_hot_prefix_is_taken_in_parts():
     assert run(1000) == run(10**9)
 
 
+def test_sets_that_share_an_id_are_told_apart(spark):
+    rows = [(7, "a", b"x"), (7, "b", b"x"), (7, "c", b"y"), (8, "d", b"z"), (8, "e", b"z"), (9, "f", b"w")]
+    s, first = N.classed(spark.createDataFrame(rows, "id long, key string, fp binary"))
+    ids = {r["key"]: r["id"] for r in s.collect()}
+    assert ids["a"] == ids["b"] != ids["c"] and ids["d"] == ids["e"] == 8 and ids["f"] == 9 and "fp" not in s.columns
+    assert {r["first"] for r in first.collect()} == {"a", "d"}
+
+
 def test_a_large_group_of_near_copies_keeps_its_pairs(spark):
     """400 rows that all share a template: about the pairs that stand near the threshold, in one piece and in blocks."""
     rng = random.Random(5)
