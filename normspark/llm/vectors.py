@@ -7,6 +7,7 @@ pair of blocks that it was in, are merged last. The result is exact.
 
 With n rows in blocks of b, work grows as n * n and a row is sent to n / b tasks. A block is as large as a task's memory
 allows, so that reading two blocks takes no time beside multiplying them; smaller blocks serve only to give all cores a pair.
+From ``MANY`` rows on, ``vector_groups`` does the same for groups of close vectors, if they form such.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ SMALL = 4096
 #: Rows and columns of a tile: it stays in the processor's cache between product and comparison.
 TILE, WIDE = 512, 2048
 SALTS = 64
+#: Rows from which on groups are worth their fixed cost.
+MANY = 1 << 18
 
 
 def usable(df: DataFrame, dim: int = DIM) -> DataFrame:
@@ -133,10 +136,10 @@ def meet(a: Block, b: Block, k: int) -> None:
                 b.best.merge(y, sim, a.no[x])
 
 
-_LISTS = "no long, sims binary, others binary"
+LISTS = "no long, sims binary, others binary"
 
 
-def _lists(no: np.ndarray, best: Best) -> pd.DataFrame:
+def lists_of(no: np.ndarray, best: Best) -> pd.DataFrame:
     n = (best.at >= 0).sum(1)
     return pd.DataFrame({"no": no, "sims": [s[:m].tobytes() for s, m in zip(best.sim, n)], "others": [x[:m].tobytes() for x, m in zip(best.at, n)]})
 
@@ -151,7 +154,7 @@ def _pairs(k: int):
         if blocks and (alone or len(blocks) == 2):
             meet(blocks[0], blocks[-1], k)
         for b in blocks:
-            yield _lists(b.no, b.best)
+            yield lists_of(b.no, b.best)
 
     return run
 
@@ -199,22 +202,36 @@ def _chunks(blocks: int):
     return run
 
 
-def similar(vectors: DataFrame, k: int = K, block: int = BLOCK) -> DataFrame:
-    """``no, rank, sim, other`` of unique ``no, vec`` (bytes of float32): the k most similar other rows of each row.
+def parts(spark: SparkSession, n: int, block: int) -> int:
+    """Blocks of ``n`` rows: as few as have a pair for each core, while blocks are not small; more where memory asks."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(1, ceil(n / block), min(ceil((isqrt(8 * cores + 1) - 1) / 2), n // SMALL))
 
-    rank starts at 0. Equal similarities (to 12 digits) go by the smaller number.
-    """
-    n = vectors.count()
-    cores = vectors.sparkSession.sparkContext.defaultParallelism
-    # the least number of blocks whose pairs are as many as the cores, while blocks are not small; more where memory asks
-    g = max(1, ceil(n / block), min(ceil((isqrt(8 * cores + 1) - 1) / 2), n // SMALL))
+
+def by_pairs(vectors: DataFrame, g: int, run, schema: str) -> DataFrame:
+    """``run`` on each pair of ``g`` blocks of ``no, vec``, a partition each."""
     d = vectors.select("no", "vec", F.pmod(F.xxhash64("no"), F.lit(g)).cast("int").alias("block"))
     d = d.mapInPandas(_chunks(g), "block int, nos binary, vecs binary").withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(g - 1))))
     low, high = F.least("block", "other"), F.greatest("block", "other")
     pair = (high * (high + 1) / 2 + low).cast("int")
     met = d.select(pair.alias("pair"), (F.col("block") == high).cast("int").alias("role"), (low == high).alias("alone"), "nos", "vecs")
     met = met.repartitionById(g * (g + 1) // 2, F.col("pair")).select("role", "alone", "nos", "vecs")
-    lists = met.mapInPandas(_pairs(k), _LISTS)
+    return met.mapInPandas(run, schema)
+
+
+def similar(vectors: DataFrame, k: int = K, block: int = BLOCK, many: int = MANY) -> DataFrame:
+    """``no, rank, sim, other`` of unique ``no, vec`` (bytes of float32): the k most similar other rows of each row.
+
+    rank starts at 0. Equal similarities (to 12 digits) go by the smaller number.
+    """
+    n = vectors.count()
+    lists = None
+    if n >= many:
+        from normspark.llm.vector_groups import grouped
+
+        lists = grouped(vectors, n, k, block, DIM)
+    if lists is None:
+        lists = by_pairs(vectors, parts(vectors.sparkSession, n, block), _pairs(k), LISTS)
     return lists.repartition("no").sortWithinPartitions("no").mapInPandas(_merged(k), "no long, rank int, sim double, other long")
 
 

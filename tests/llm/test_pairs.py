@@ -6,8 +6,10 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from normspark.llm import near_dup as N
+from normspark.llm import vector_groups as G
 from normspark.llm import vectors as V
 from normspark.llm.text import body, visible
+from normspark.session import cut
 
 WORDS = [f"từ{i}" for i in range(400)]
 
@@ -151,6 +153,33 @@ def test_nearest_equal_brute_force_with_ties(spark):
         assert got == want
 
 
+def test_groups_of_vectors_give_the_same_as_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(G, "CELL", 200)
+    rng = np.random.default_rng(4)
+    parts = [c + rng.normal(size=(m, 64)) * w for c, m, w in zip(rng.normal(size=(170, 64)), rng.integers(4, 40, 170), rng.uniform(0.02, 0.5, 170))]
+    parts += [rng.normal(size=(60, 64)), np.ones((1, 64)) + rng.normal(size=(300, 64)) * 1e-4]  # near nothing, and near-copies
+    x = np.concatenate(parts).astype(np.float32) * rng.uniform(0.1, 50, (sum(map(len, parts)), 1)).astype(np.float32)
+    x = x[rng.permutation(len(x))]
+    df = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(x)], "no long, vec binary")
+    asked = []
+    monkeypatch.setattr(G, "cut", lambda d, name: asked.append((name, c := cut(d, name))) or c)
+    got = {(r["no"], r["rank"]): r["other"] for r in V.similar(df, 5, 500, many=0).collect()}
+    n = dict(asked)["pairs"].count()
+    assert n < len(x) * 2  # of pairs of items, where there are len(x) ** 2 / 2 pairs of rows
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    s = np.round(u @ u.T, 12)
+    np.fill_diagonal(s, -2)
+    want = np.argsort(-s, axis=1, kind="stable")[:, :5]
+    assert got == {(i, r): o for i, row in enumerate(want.tolist()) for r, o in enumerate(row)}
+
+
+def test_vectors_without_groups_are_left_to_all_pairs(spark):
+    x = np.random.default_rng(5).normal(size=(700, 64)).astype(np.float32)
+    df = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(x)], "no long, vec binary")
+    assert G.grouped(df, 700, 5, 500, 64) is None
+    assert sorted(V.similar(df, 5, 500, many=0).collect()) == sorted(V.similar(df, 5, 500).collect())
+
+
 def test_few_and_no_vectors(spark):
     df = spark.createDataFrame([("a", [1.0] * 64), ("b", [1.0] * 63 + [0.5])], "unit_id string, embedding array<float>")
     assert {r["unit_id"]: list(r["others"]) for r in V.nearest(df).collect()} == {"a": ["b"], "b": ["a"]}
