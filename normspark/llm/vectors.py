@@ -32,7 +32,7 @@ SMALL = 4096
 TILE, WIDE = 512, 2048
 SALTS = 64
 #: Rows from which on groups are worth their fixed cost.
-MANY = 1 << 18
+MANY = 1 << 17
 
 
 def usable(df: DataFrame, dim: int = DIM) -> DataFrame:
