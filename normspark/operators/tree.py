@@ -31,7 +31,8 @@ def marked(docs: DataFrame) -> DataFrame:
     d = d.withColumn("n", F.nullif(F.regexp_extract("line", r"(?U)^\s*[Đđ]iều\s+(\d+)", 1), F.lit("")).try_cast("int"))
     w = Window.partitionBy("norm_id").orderBy("i")
     last = F.last("n", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    nxt = F.first("n", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    # by an offset: a frame up to the end would be gone through again from every line
+    nxt = F.expr("lead(n) IGNORE NULLS OVER (PARTITION BY norm_id ORDER BY i)")
     hits = F.count("n").over(Window.partitionBy("norm_id"))
     out = (F.col("n") - last > S.OUTLIER_JUMP) & (nxt < F.col("n")) & (nxt - last <= S.OUTLIER_RETURN) & (hits >= S.OUTLIER_LEAST)
     return d.withColumn("outlier", F.coalesce(out, F.lit(False))).select("norm_id", "i", "line", F.when(~F.col("outlier"), X.level(F.col("line"))).alias("level"))

@@ -1,6 +1,7 @@
 """Parsing and repairs, against a plain stack written here and against documents of each case."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +81,15 @@ def test_outlier_article_is_body_text(spark):
     assert len(rows(parse(spark, d="Điều 1. a\nĐiều 30. b"))) == 2
 
 
+def test_no_window_goes_through_a_document_from_every_line(spark):
+    """A frame from a line to the document's end is read again for each line: quadratic in long documents."""
+    plan = parse(spark, d=FULL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lead(n#" in plan and not re.search(r"specifiedwindowframe\(\w+, (?!unboundedpreceding)[^,]+, unboundedfollowing", plan)
+    many = [f"Điều {i}. a\n1. b" for i in range(1, 31)] + ["chữ\n\nĐiều 70. c\nchữ"] + [f"Điều {i}. a" for i in range(31, 34)]
+    r = rows(parse(spark, d="\n".join(many)))
+    assert len(r) == 63 and r["d__c60"]["raw_text"] == "b\nchữ\nĐiều 70. c\nchữ\n"
+
+
 def test_preamble_and_long_parent_text_move_to_the_first_leaf(spark):
     long = "x" * 150
     r = rows(parse(spark, d=f"Căn cứ Luật\nĐiều 1. {long}\n1. một\n2. hai"))
