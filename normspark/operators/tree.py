@@ -33,7 +33,7 @@ def marked(docs: DataFrame) -> DataFrame:
     last = F.last("n", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
     # by an offset: a frame up to the end would be gone through again from every line
     nxt = F.expr("lead(n) IGNORE NULLS OVER (PARTITION BY norm_id ORDER BY i)")
-    hits = F.count("n").over(Window.partitionBy("norm_id"))
+    hits = F.count("n").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     out = (F.col("n") - last > S.OUTLIER_JUMP) & (nxt < F.col("n")) & (nxt - last <= S.OUTLIER_RETURN) & (hits >= S.OUTLIER_LEAST)
     return d.withColumn("outlier", F.coalesce(out, F.lit(False))).select("norm_id", "i", "line", F.when(~F.col("outlier"), X.level(F.col("line"))).alias("level"))
 
@@ -51,11 +51,10 @@ def components(docs: DataFrame) -> DataFrame:
     """
     m = marked(docs)
     w = Window.partitionBy("norm_id").orderBy("i")
-    m = m.withColumn("ord", F.when(F.col("level").isNotNull(), F.sum(F.col("level").isNotNull().cast("int")).over(w)))
-    m = m.withColumn("owner", F.coalesce(F.max("ord").over(w), F.lit(0)))
+    m = m.withColumn("owner", F.count("level").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     lv = F.col("level")
-    own = F.when(lv.isNull(), X.strip(F.col("line"))).otherwise(X.title(F.col("line"), lv))
-    m = m.select("norm_id", "i", "owner", "level", F.when(lv.isNotNull(), X.citation(F.col("line"), lv)).alias("citation"), F.when(lv.isNotNull(), X.title(F.col("line"), lv)).alias("title_text"), own.alias("own"))
+    m = m.select("norm_id", "i", "owner", "line", "level", F.when(lv.isNotNull(), X.citation(F.col("line"), lv)).alias("citation"), F.when(lv.isNotNull(), X.title(F.col("line"), lv)).alias("title_text"))
+    m = m.withColumn("own", F.when(lv.isNull(), X.strip(F.col("line"))).otherwise(F.col("title_text")))
     n = m.groupBy("norm_id", F.col("owner").alias("ord")).agg(
         F.max("level").alias("level"), F.max("citation").alias("citation"), F.max("title_text").alias("title_text"),
         F.array_sort(F.collect_list(F.when(F.col("own").isNotNull(), F.struct("i", "own")))).alias("parts"),
@@ -63,32 +62,34 @@ def components(docs: DataFrame) -> DataFrame:
     text = F.when(F.size("parts") > 0, F.concat(F.array_join(F.transform("parts", lambda x: x["own"]), "\n"), F.lit("\n")))
     n = n.withColumn("raw", text).withColumn("rank", rank_of(F.col("level")))
 
+    # what windows hold stays until their task ends, so there are two of them, and ids are spelled out after them
     wd = Window.partitionBy("norm_id").orderBy("ord")
-    before = wd.rowsBetween(Window.unboundedPreceding, -1)
-    node = F.struct("ord", F.concat("norm_id", F.lit("__c"), F.col("ord").cast("string")).alias("comp_id"), "citation", "title_text", "level", "rank")
+    before, whole = wd.rowsBetween(Window.unboundedPreceding, -1), wd.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    node = F.struct("ord", "citation", "title_text", "level")
     lasts = [F.last(F.when(F.col("rank") == k, node), ignorenulls=True).over(before) for k in RANKS]
-    n = n.withColumn("next_rank", F.lead("rank").over(wd)).withColumn("lasts", F.array(*lasts))
-    n = n.withColumn("gives", F.when(F.col("next_rank") > F.col("rank"), F.col("raw")))
-    n = n.withColumns({f"given{j}": F.lag("gives", j).over(wd) for j in range(1, len(RANKS))}).drop("gives")
-    n = n.withColumn("preamble", F.max(F.when(F.col("ord") == 0, F.col("raw"))).over(Window.partitionBy("norm_id")))
+    ago = range(1, len(RANKS))
+    alone = F.coalesce(F.max("ord").over(whole), F.lit(0)) == 0  # a document without markers
+    n = n.select("norm_id", "ord", "level", "citation", "title_text", "raw", "rank", F.lead("rank").over(wd).alias("next_rank"), F.array(*lasts).alias("lasts"), alone.alias("alone"), *(F.lag(c, k).over(wd).alias(f"{c}{k}") for c in ("rank", "raw") for k in ago))
     # open: of a smaller rank than the node, and later than every marker of a rank smaller still
     at = lambda k: F.coalesce(F.col("lasts")[k]["ord"], F.lit(0))
     open_ = [F.when((F.lit(k) < F.col("rank")) & (at(k) > (reduce(F.greatest, [at(j) for j in range(k)], F.lit(0)) if k else F.lit(0))), F.col("lasts")[k]) for k in RANKS]
-    alone = F.coalesce(F.max("ord").over(Window.partitionBy("norm_id")), F.lit(0)) == 0  # a document without markers
-    n = n.withColumn("alone", alone).filter("ord > 0 or alone").withColumn("chain", F.filter(F.array(*open_), lambda x: x.isNotNull())).drop("lasts", "parts")
+    n = n.withColumn("chain", F.filter(F.array(*open_), lambda x: x.isNotNull()))
     # text of long parents flows to first children: those that directly follow it. Each marker that a deeper one follows
     # gives its text to that one only, so the text of a chapter is in no other row
-    given = F.array(*(f"given{j}" for j in range(len(RANKS) - 1, 0, -1)))
+    given = F.array(*(F.when(F.col(f"rank{k - 1}" if k > 1 else "rank") > F.col(f"rank{k}"), F.col(f"raw{k}")) for k in reversed(ago)))
     long = lambda t: F.length(X.strip(t)) > S.PARENT_TEXT
     passed = F.aggregate(given, F.lit(""), lambda acc, g: F.when(long(F.concat(acc, g)), F.concat(acc, g)).otherwise(""))
     leaf = F.coalesce(F.col("next_rank") <= F.col("rank"), F.lit(True))
-    n = n.withColumn("raw_text", F.when(leaf & F.col("raw").isNotNull(), F.concat(passed, "raw"))).drop(*(f"given{j}" for j in range(1, len(RANKS))))
-    first = F.min(F.when(F.col("raw_text").isNotNull(), F.col("ord"))).over(Window.partitionBy("norm_id"))
-    n = n.withColumn("raw_text", F.when((F.col("ord") == first) & F.col("preamble").isNotNull() & ~F.col("alone"), F.concat("preamble", "raw_text")).otherwise(F.col("raw_text")))
-    short = F.transform("chain", lambda x: F.struct(x["comp_id"].alias("comp_id"), x["citation"].alias("citation"), x["title_text"].alias("title_text"), x["level"].alias("level"), x["rank"].alias("rank")))
+    kept = (F.col("ord") > 0) | F.col("alone")
+    n = n.select("norm_id", "ord", "level", "citation", "title_text", "rank", "chain", "alone", F.when(F.col("ord") == 0, F.col("raw")).alias("preamble"), F.when(kept & leaf & F.col("raw").isNotNull(), F.concat(passed, "raw")).alias("raw_text"))
+    first, preamble = F.min(F.when(F.col("raw_text").isNotNull(), F.col("ord"))).over(whole), F.max("preamble").over(whole)
+    n = n.withColumns({"first": first, "preamble": preamble}).filter(kept)
+    n = n.withColumn("raw_text", F.when((F.col("ord") == F.col("first")) & F.col("preamble").isNotNull() & ~F.col("alone"), F.concat("preamble", "raw_text")).otherwise(F.col("raw_text")))
+    comp_id = lambda at: F.concat("norm_id", F.lit("__c"), at.cast("string"))
+    short = F.transform("chain", lambda x: F.struct(comp_id(x["ord"]).alias("comp_id"), x["citation"].alias("citation"), x["title_text"].alias("title_text"), x["level"].alias("level"), rank_of(x["level"]).alias("rank")))
     k = F.when(F.col("alone"), 1).otherwise(F.col("ord"))
     return n.select(
-        "norm_id", F.concat("norm_id", F.lit("__c"), k.cast("string")).alias("comp_id"), F.when(F.col("alone"), "Dieu").otherwise(F.col("level")).alias("level"), F.when(F.col("alone"), 4).otherwise(F.col("rank")).alias("rank"),
-        F.when(F.col("alone"), "Điều 1").otherwise(F.col("citation")).alias("citation"), k.cast("int").alias("order_index"), F.when(F.size("chain") > 0, F.element_at("chain", -1)["comp_id"]).alias("parent_comp_id"),
+        "norm_id", comp_id(k).alias("comp_id"), F.when(F.col("alone"), "Dieu").otherwise(F.col("level")).alias("level"), F.when(F.col("alone"), 4).otherwise(F.col("rank")).alias("rank"),
+        F.when(F.col("alone"), "Điều 1").otherwise(F.col("citation")).alias("citation"), k.cast("int").alias("order_index"), F.when(F.size("chain") > 0, comp_id(F.element_at("chain", -1)["ord"])).alias("parent_comp_id"),
         "title_text", short.alias("ancestors"), "raw_text",
     )

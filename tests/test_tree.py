@@ -85,6 +85,7 @@ def test_no_window_goes_through_a_document_from_every_line(spark):
     """A frame from a line to the document's end is read again for each line: quadratic in long documents."""
     plan = parse(spark, d=FULL)._jdf.queryExecution().optimizedPlan().toString()
     assert "lead(n#" in plan and not re.search(r"specifiedwindowframe\(\w+, (?!unboundedpreceding)[^,]+, unboundedfollowing", plan)
+    assert len(re.findall(r"\bWindow \[", plan)) <= 4  # what each holds of a document stays until its task ends
     many = [f"Điều {i}. a\n1. b" for i in range(1, 31)] + ["chữ\n\nĐiều 70. c\nchữ"] + [f"Điều {i}. a" for i in range(31, 34)]
     r = rows(parse(spark, d="\n".join(many)))
     assert len(r) == 63 and r["d__c60"]["raw_text"] == "b\nchữ\nĐiều 70. c\nchữ\n"
